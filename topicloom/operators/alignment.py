@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from topicloom.functions import arrays
-from topicloom.runtime import lookup_join, row_total
+from topicloom.runtime import cut_lineage, lookup_join, row_total
 
 
 def n_rows() -> Column:
@@ -159,19 +159,23 @@ def adjusted_rand(table: DataFrame) -> DataFrame:
 
 
 def normalized_mutual_info(table: DataFrame) -> DataFrame:
-    """One row: mutual information over the mean of the two entropies."""
-    cells = _margins(table)
-    total = table.agg(F.sum("n").cast("double").alias("total")).scalar()
+    """One row: mutual information over the mean of the two entropies.
+
+    With total T, MI = ln T + (sum n ln n - sum n ln a - sum n ln b) / T and
+    H(a) = ln T - sum n ln a / T, so one aggregation over the cells is enough.
+    """
     n, a, b = (F.col(c) for c in ("n", "a", "b"))
-    sums = cells.agg(
-        F.sum(n / total * F.log(total * n / (a * b))).alias("mi"),
-        F.sum(-n / total * F.log(a / total)).alias("h_categories"),
-        F.sum(-n / total * F.log(b / total)).alias("h_topics"),
-    )
-    mean = (F.col("h_categories") + F.col("h_topics")) / 2
-    return sums.select(
-        F.when(mean == 0, F.lit(1.0)).otherwise(F.col("mi") / F.nullif(mean, F.lit(0.0))).alias("nmi")
+    sums = _margins(table).agg(
+        F.sum("n").alias("t"),
+        F.sum(n * F.log(n)).alias("cells"),
+        F.sum(n * F.log(a)).alias("categories"),
+        F.sum(n * F.log(b)).alias("topics"),
     )
+    t = F.col("t")
+    mi = F.log(t) + (F.col("cells") - F.col("categories") - F.col("topics")) / t
+    mean = F.log(t) - (F.col("categories") + F.col("topics")) / (2 * t)
+    # below this the entropy is rounding error of a single cluster
+    return sums.select(F.when(mean < 1e-12, F.lit(1.0)).otherwise(mi / F.nullif(mean, F.lit(0.0))).alias("nmi"))
 
 
 def alignment_summary(table: DataFrame, k: int) -> DataFrame:
@@ -189,9 +193,13 @@ def alignment_summary(table: DataFrame, k: int) -> DataFrame:
 
 
 def alignment(docs: DataFrame, doc_topics: DataFrame, k: int) -> dict[str, DataFrame]:
-    """All alignment tables of one method."""
+    """All alignment tables of one method.
+
+    The contingency table is written once: it is small, and every result but the shares
+    of listed categories comes from it, so the documents are read a single time for them.
+    """
     analysis = attach_topics(docs, doc_topics)
-    table = contingency(analysis)
+    table = cut_lineage(contingency(analysis))
     return {
         "analysis": analysis,
         "contingency": table,
