@@ -18,6 +18,7 @@ from topicloom.functions.text import CONTRACTIONS, stopword_list
 from topicloom.functions.words import IRREGULAR_PLURALS
 from topicloom.operators import features as fe
 from topicloom.operators.normalise import preprocess_abstracts
+from topicloom.runtime import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,6 +104,7 @@ def source_words(spark: SparkSession, sf: str, n: int = 20) -> DataFrame:
         .groupBy("primary_category", "word")
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
+    counts = cut_lineage(counts)
     numbers = Window.orderBy("primary_category")
     topics = counts.select("primary_category").distinct().withColumn("topic_id", F.row_number().over(numbers) - 1)
     order = Window.partitionBy("primary_category").orderBy(F.desc("weight"), "word")

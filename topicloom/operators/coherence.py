@@ -1,78 +1,33 @@
 """Topic coherence: c_v, c_npmi, c_uci and u_mass.
 
 Probabilities are shares of sliding windows over the whole corpus (of documents, for
-u_mass). The counting is one pass over the documents: the windows that hold a word are
-kept as merged intervals inside each row, and what two words share is the overlap of
-their intervals, so no window is ever written out as a row. The top words of all topics
-are a bounded list (topics x words) and travel with the plan.
+u_mass). The counting is one pass over the documents and writes no window as a row: every
+occurrence of a top word covers a range of window starts, and between two ends of such
+ranges the set of words in a window does not change. A stretch of windows is therefore
+counted at once, so the cost follows the number of occurrences. The top words of all
+topics are a bounded list (topics x words) and travel with the tasks; each task returns
+topics x words x words sums, which Spark adds up.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from topicloom.functions.arrays import let
+from topicloom.runtime import cut_lineage
 
 EPSILON = 1e-12
 
 #: Window sizes of the sliding-window measures.
 WINDOWS = {"c_v": 110, "c_uci": 10, "c_npmi": 10}
 
-
-def window_total(docs: DataFrame, window: int) -> DataFrame:
-    """One row: the number of windows. A document shorter than the window has one."""
-    size = F.greatest(F.lit(1), F.size("tokens") - window + 1).cast("long")
-    return docs.agg(F.sum(size).alias("total"))
-
-
-def _positions(tokens: Column, words: list[str]) -> Column:
-    """``array<struct<word, pos>>`` of the listed words, in token order."""
-    marked = F.transform(tokens, lambda t, i: F.when(t.isin(words), F.struct(t.alias("word"), i.alias("pos"))))
-    return F.array_compact(marked)
-
-
-def _merged(positions: Column, last_start: Column, window: int) -> Column:
-    """Window starts that see one of the ascending positions, as disjoint intervals."""
-    reach = F.transform(
-        positions,
-        lambda p: F.struct(
-            F.greatest(F.lit(0), p - window + 1).alias("a"), F.least(p, last_start).alias("b")
-        ),
-    )
-
-    def merge(spans: Column) -> Column:
-        heads = F.filter(
-            F.sequence(F.lit(0), F.size(spans) - 1),
-            lambda i: (i == 0) | (F.get(spans, i)["a"] > F.get(spans, i - 1)["b"] + 1),
-        )
-        return let(
-            heads,
-            lambda at: F.transform(
-                at,
-                lambda start, j: F.struct(
-                    F.get(spans, start)["a"].alias("a"),
-                    F.get(spans, F.coalesce(F.get(at, j + 1), F.size(spans)) - 1)["b"].alias("b"),
-                ),
-            ),
-        )
-
-    return let(reach, merge)
-
-
-def _overlap(left: Column, right: Column) -> Column:
-    zero = F.lit(0).cast("long")
-    return F.aggregate(
-        left,
-        zero,
-        lambda total, x: total
-        + F.aggregate(
-            right,
-            zero,
-            lambda part, y: part
-            + F.greatest(F.lit(0), F.least(x["b"], y["b"]) - F.greatest(x["a"], y["a"]) + 1).cast("long"),
-        ),
-    )
+#: Tokens handled at a time inside a task, to bound its memory. Documents stay whole.
+SLICE_TOKENS = 300_000
 
 
 def _topic_lists(topic_words: DataFrame) -> list[tuple[int, list[str]]]:
@@ -84,58 +39,82 @@ def _topic_lists(topic_words: DataFrame) -> list[tuple[int, list[str]]]:
     return [(t, [w for _, w in sorted(words)]) for t, words in sorted(lists.items())]
 
 
+def _starts_covered(
+    token_docs: np.ndarray, positions: np.ndarray, lengths: np.ndarray, window: int | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """First and one past the last window start that sees each occurrence.
+
+    Starts are numbered through all documents of the slice, so ranges of different
+    documents never meet. Without a window a document is one single window.
+    """
+    last = np.zeros(len(lengths), dtype=np.int64) if window is None else np.maximum(0, lengths - window)
+    base = np.cumsum(last + 1) - (last + 1)
+    if window is None:
+        first = base[token_docs]
+        return first, first + 1
+    first = base[token_docs] + np.maximum(0, positions - window + 1)
+    return first, base[token_docs] + np.minimum(positions, last[token_docs]) + 1
+
+
+def _windows_shared(first: np.ndarray, end: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
+    """Windows with both words, for every two of ``n`` words; ``rank`` is the word of a range."""
+    edges = np.unique(np.concatenate([first, end]))
+    cells = len(edges) * n
+    opened = np.bincount(np.searchsorted(edges, first) * n + rank, minlength=cells)
+    closed = np.bincount(np.searchsorted(edges, end) * n + rank, minlength=cells)
+    inside = (np.cumsum((opened - closed).reshape(-1, n), axis=0) > 0)[:-1].astype(float)
+    return inside.T @ (inside * np.diff(edges)[:, None])
+
+
 def pair_counts(docs: DataFrame, topic_words: DataFrame, window: int | None) -> DataFrame:
-    """``(topic_id, rank_i, rank_j, n)`` for i <= j: windows with both words.
+    """``(topic_id, rank_i, rank_j, n)``: windows with both words, zero counts left out.
 
     The diagonal holds the windows of a word itself. ``window=None`` counts documents.
+    The row with a missing topic holds the number of all windows; a document shorter than
+    the window has one.
     """
     lists = _topic_lists(topic_words)
     words = sorted({w for _, topic in lists for w in topic})
-    topics = F.array(
-        *[F.struct(F.lit(t).alias("topic_id"), F.array(*[F.lit(w) for w in ws]).alias("words")) for t, ws in lists]
-    )
-    length = F.size("tokens")
-    last_start = F.lit(0) if window is None else F.greatest(F.lit(0), length - window)
-    span = 1 if window is None else window
-
-    # explode of a one- or no-element array drops documents without a top word, and
-    # computes the positions once
-    found = F.filter(F.array(_positions(F.col("tokens"), words)), lambda p: F.size(p) > 0)
-    hits = docs.select(last_start.alias("last_start"), F.explode(found).alias("hits"))
-
-    def intervals(word: Column) -> Column:
-        own = F.transform(F.filter("hits", lambda h: h["word"] == word), lambda h: h["pos"])
-        if window is None:
-            return F.transform(F.slice(own, 1, 1), lambda p: F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
-        return let(
-            own,
-            lambda p: F.when(F.size(p) > 0, _merged(p, F.col("last_start"), span)).otherwise(
-                F.array().cast("array<struct<a:int,b:int>>")
-            ),
-        )
-
-    by_topic = hits.select("last_start", "hits", F.explode(topics).alias("topic"))
-    listed = F.filter(
-        F.transform(
-            F.col("topic.words"), lambda w, r: F.struct((r + 1).alias("rank"), intervals(w).alias("spans"))
-        ),
-        lambda item: F.size(item["spans"]) > 0,
-    )
-    present = by_topic.select(F.col("topic.topic_id").alias("topic_id"), listed.alias("items"))
-    first = present.select("topic_id", "items", F.posexplode("items").alias("pos", "left"))
-    both = first.select(
-        "topic_id", "left", F.explode(F.slice("items", F.col("pos") + 1, F.size("items"))).alias("right")
-    )
-    return (
-        both.select(
-            "topic_id",
-            F.col("left.rank").alias("rank_i"),
-            F.col("right.rank").alias("rank_j"),
-            _overlap(F.col("left.spans"), F.col("right.spans")).alias("n"),
-        )
-        .groupBy("topic_id", "rank_i", "rank_j")
-        .agg(F.sum("n").alias("n"))
-    )
+    index = {w: i for i, w in enumerate(words)}
+    kinds = pa.schema([("topic_id", pa.int32()), ("rank_i", pa.int32()), ("rank_j", pa.int32()), ("n", pa.int64())])
+    members = [(t, np.array([index[w] for w in ws])) for t, ws in lists]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(words, pa.string())
+        sums = [np.zeros((len(ws), len(ws))) for _, ws in members]
+        windows = 0
+        for batch in batches:
+            tokens = batch.column(0)
+            all_lengths = np.asarray(tokens.value_lengths().fill_null(0), dtype=np.int64)
+            codes = pc.index_in(tokens.flatten(), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(all_lengths)
+            windows += len(all_lengths) if window is None else int(np.maximum(1, all_lengths - window + 1).sum())
+            row = 0
+            while row < len(all_lengths):
+                offset = ends[row] - all_lengths[row]
+                stop = max(row + 1, int(np.searchsorted(ends, offset + SLICE_TOKENS, side="right")))
+                lengths = all_lengths[row:stop]
+                code = codes[offset : ends[stop - 1]]
+                at = np.flatnonzero(code >= 0)
+                token_docs = np.repeat(np.arange(len(lengths)), lengths)[at]
+                positions = at - (np.cumsum(lengths) - lengths)[token_docs]
+                first, end = _starts_covered(token_docs, positions, lengths, window)
+                order = np.argsort(code[at], kind="stable")
+                bounds = np.searchsorted(code[at][order], np.arange(len(words) + 1))
+                for total, (_, ws) in zip(sums, members):
+                    parts = [order[bounds[w] : bounds[w + 1]] for w in ws]
+                    own = np.concatenate(parts)
+                    if len(own):
+                        rank = np.repeat(np.arange(len(ws)), [len(p) for p in parts])
+                        total += _windows_shared(first[own], end[own], rank, len(ws))
+                row = stop
+        out = [(None, None, None, windows)]
+        for total, (topic, _) in zip(sums, members):
+            out += [(topic, i + 1, j + 1, round(total[i, j])) for i, j in zip(*np.nonzero(total))]
+        yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in out], schema=kinds)
+
+    parts = docs.select("tokens").mapInArrow(count, "topic_id int, rank_i int, rank_j int, n long")
+    return parts.groupBy("topic_id", "rank_i", "rank_j").agg(F.sum("n").alias("n"))
 
 
 def pair_scores(docs: DataFrame, topic_words: DataFrame, window: int | None) -> DataFrame:
@@ -143,21 +122,13 @@ def pair_scores(docs: DataFrame, topic_words: DataFrame, window: int | None) ->
 
     Pairs that never meet have probability 0; so has a word that never occurs.
     """
-    counts = pair_counts(docs, topic_words, window)
-    if window is None:
-        total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
-    else:
-        total = window_total(docs, window).scalar()
+    counts = cut_lineage(pair_counts(docs, topic_words, window))  # topics x words x words rows
+    total = counts.where(F.col("topic_id").isNull()).select("n").scalar()
     ranks = topic_words.groupBy("topic_id").agg(F.collect_set("rank").alias("ranks"))
     grid = ranks.select("topic_id", "ranks", F.explode("ranks").alias("rank_i")).select(
         "topic_id", "rank_i", F.explode("ranks").alias("rank_j")
     )
-    both = counts.unionByName(
-        counts.where("rank_i < rank_j").select(
-            "topic_id", F.col("rank_j").alias("rank_i"), F.col("rank_i").alias("rank_j"), "n"
-        )
-    )
-    filled = grid.join(both, ["topic_id", "rank_i", "rank_j"], "left").na.fill(0, ["n"])
+    filled = grid.join(counts, ["topic_id", "rank_i", "rank_j"], "left").na.fill(0, ["n"])
     alone = F.col("rank_i") == F.col("rank_j")
     of_i = Window.partitionBy("topic_id", "rank_i")
     of_j = Window.partitionBy("topic_id", "rank_j")

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from topicloom.config import TopicConfig
 from topicloom.functions import arrays
-from topicloom.runtime import row_total
+from topicloom.runtime import cut_lineage
 
 
 def split_tokens(df: DataFrame, column: str = "processed_text") -> DataFrame:
@@ -34,13 +34,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.select("id", F.inline(arrays.run_lengths("tokens")))
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
+def document_frequencies(docs: DataFrame, with_total: bool = False) -> DataFrame:
     """``(term, df, ctf)``: documents with the term, and occurrences in the corpus.
 
-    Counts are combined on the map side, so a frequent term costs one row per task.
+    Counts are combined on the map side, so a frequent term costs one row per task. With
+    ``with_total`` every document also counts for the missing term, whose ``df`` is then
+    the number of documents.
     """
+    counts = arrays.run_lengths("tokens")
+    if with_total:
+        missing = F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf"))
+        counts = F.array_append(counts, missing)
     return (
-        docs.select(F.inline(arrays.run_lengths("tokens")))
+        docs.select(F.inline(counts))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"))
     )
@@ -69,8 +75,12 @@ def vocabulary(
     ``keep_by`` is the frequency that decides: ``ctf`` (occurrences) for TF-IDF features,
     ``df`` (documents) for bag-of-words features. Ties go to the smaller term.
     """
-    n_docs = row_total(docs)
-    kept = prune(document_frequencies(docs), n_docs, min_df, max_df)
+    # terms and number of documents come from one pass over the texts; what is left of it,
+    # one row per term, is written so that neither is computed again
+    found = document_frequencies(docs, with_total=True)
+    counted = cut_lineage(found.where((F.col("df") >= min_df) | F.col("term").isNull()))
+    n_docs = counted.where(F.col("term").isNull()).select("df").scalar()
+    kept = prune(counted.where(F.col("term").isNotNull()), n_docs, min_df, max_df)
     top = kept.orderBy(F.desc(keep_by), "term").limit(max_terms)
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
     return with_term_ids(top).select("term", "term_id", "df", "ctf", idf.alias("idf"))
