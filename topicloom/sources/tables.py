@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from topicloom.functions import arrays
 
 #: Raw papers as they are landed.
-PAPER_SCHEMA = StructType.fromDDL(
+PAPER_SCHEMA = (
     "id STRING, title STRING, abstract STRING, authors STRING, published TIMESTAMP, year INT, "
     "categories STRING, primary_category STRING, arxiv_id STRING"
 )
