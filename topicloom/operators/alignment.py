@@ -226,8 +226,12 @@ def predicted_by_topic(table: DataFrame, k: int) -> DataFrame:
 
 
 def predict(analysis: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Predicted category of each document. ``predicted`` has one row per topic."""
-    return lookup_join(analysis, predicted, "dominant_topic", how="inner")
+    """Predicted category of each document.
+
+    ``predicted`` has one row per topic and is written first, since the size check and
+    the join both read it.
+    """
+    return lookup_join(analysis, cut_lineage(predicted), "dominant_topic", how="inner")
 
 
 def label_pairs(table: DataFrame, predicted: DataFrame) -> DataFrame:

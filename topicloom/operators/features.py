@@ -83,7 +83,8 @@ def vocabulary(
     kept = prune(counted.where(F.col("term").isNotNull()), n_docs, min_df, max_df)
     top = kept.orderBy(F.desc(keep_by), "term").limit(max_terms)
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
-    return with_term_ids(top).select("term", "term_id", "df", "ctf", idf.alias("idf"))
+    # at most max_terms rows, written so that the top terms are picked once
+    return cut_lineage(with_term_ids(top).select("term", "term_id", "df", "ctf", idf.alias("idf")))
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
 from pyspark.ml.clustering import LDA, LDAModel
@@ -12,7 +13,7 @@ from pyspark.sql.window import Window
 
 from topicloom.config import TopicConfig
 from topicloom.operators import topics
-from topicloom.operators.coherence import model_coherence
+from topicloom.operators.coherence import topic_coherence
 from topicloom.operators.features import Lexicon
 
 #: Updates per pass over the corpus. Every update scans the cached vectors once, so a
@@ -96,13 +97,24 @@ def sweep(
     config: TopicConfig = TopicConfig(),
     **fit_options,
 ) -> tuple[DataFrame, LDAModel]:
-    """Fit every ``k``, score its coherence over ``docs`` and keep the best model."""
-    models, scores = [], []
-    for k in ks:
-        model = fit_lda(vectors, k, config, **fit_options)
-        words = topic_words(model, lexicon, config.coherence_words)
-        models.append(model)
-        scores.append(model_coherence(docs, words, config.coherence).first()["coherence"])
+    """Fit every ``k``, score its coherence over ``docs`` and keep the best model.
+
+    The words of all models are scored in one pass over the documents; topic ``t`` of the
+    model at position ``i`` is numbered ``i * max(ks) + t`` meanwhile.
+    """
+    models = [fit_lda(vectors, k, config, **fit_options) for k in ks]
+    step = max(ks)
+    words = reduce(
+        DataFrame.unionByName,
+        [
+            topic_words(m, lexicon, config.coherence_words).withColumn("topic_id", F.col("topic_id") + i * step)
+            for i, m in enumerate(models)
+        ],
+    )
+    coherence = topic_coherence(docs, words, config.coherence)
+    position = F.floor(F.col("topic_id") / step).cast("int").alias("position")
+    means = {r["position"]: r["score"] for r in coherence.groupBy(position).agg(F.avg("coherence").alias("score")).collect()}
+    scores = [means[i] for i in range(len(ks))]
     table = topics.sweep_table(vectors.sparkSession, ks, scores, largest=True)
     return table, models[scores.index(max(scores))]
 
@@ -130,7 +142,9 @@ def term_relevance(topic_terms: DataFrame, shares: DataFrame, n: int = 30, weigh
 
     Relevance mixes the log probability in the topic with the log lift over the corpus.
     """
-    relevance = weight * F.log("p") + (1 - weight) * F.log(F.col("p") / F.col("p_term"))
+    relevance = weight * F.log("p") + (1 - weight) * F.log(
+        F.col("p") / F.nullif(F.col("p_term"), F.lit(0.0))
+    )
     scored = _marginals(topic_terms, shares).where("p > 0").withColumn("relevance", relevance)
     order = Window.partitionBy("topic_id").orderBy(F.desc("relevance"), "term")
     return (

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicloom.config import TopicConfig
-from topicloom.operators import clusters, comparison, lda, metrics, nmf, report, topics
+from topicloom.operators import alignment, clusters, comparison, lda, metrics, nmf, report, topics
 from topicloom.operators.corpus import assemble_corpus, flatten_lists
 from topicloom.operators.features import Lexicon, add_ngrams, build_features, feature_vectors, sparse_rows
 from topicloom.operators.normalise import preprocess_abstracts
@@ -180,14 +180,14 @@ def run_report(
     """All tables of the analysis report of one method."""
     result = comparison.evaluate_method(docs, doc_topics, k, method, config)
     table, predicted = result["contingency"], result["predicted_by_topic"]
-    analysis = clusters.lookup_join(result["analysis"], predicted, "dominant_topic", how="inner")
+    analysis = alignment.predict(result["analysis"], predicted)
     out = {
         **result,
         "analysis": analysis,
         "predictions": tables.predictions(analysis),
-        "primary_counts": comparison.al.primary_category_counts(docs),
-        "all_counts": comparison.al.all_category_counts(docs),
-        "category_totals": comparison.al.category_totals(docs),
+        "primary_counts": alignment.primary_category_counts(docs),
+        "all_counts": alignment.all_category_counts(docs),
+        "category_totals": alignment.category_totals(docs),
         "per_topic_accuracy": metrics.topic_accuracy(table, predicted),
         "confusion_shares": report.normalised_confusion(result["confusion"]),
         "best_supported": report.best_supported(result["per_category"]),

@@ -45,10 +45,13 @@ def row_total(df: DataFrame):
 def spread_rows(df: DataFrame) -> DataFrame:
     """Use every core on inputs that come in fewer pieces than there are cores.
 
-    Inputs with enough splits, that is all large ones, are returned as they are.
+    Inputs with enough splits, that is all large ones, are returned as they are. So are
+    plans with a shuffle, whose partitions are decided when they run.
     """
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def lookup_join(
@@ -80,7 +83,7 @@ def salted_join(
     return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
 
 
-def top_per_group(df: DataFrame, group: list[str], order: list, n: int, spread: str, salts: int = 32) -> DataFrame:
+def top_per_group(df: DataFrame, group: list[str], order: list, n: int, spread: str, salts: int = 256) -> DataFrame:
     """First ``n`` rows of every group with their ``rank``, a hot group being split first.
 
     Each group is cut to ``n`` rows within every salt of the ``spread`` column, so the
