@@ -10,7 +10,6 @@ occupied cells, however unevenly the documents fall into them.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql.window import Window
 
 from topicloom.operators import topics
 from topicloom.operators.features import Lexicon, sparse_rows
-from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join
+from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join, spread_rows
 
 #: Rounds of merging labels before the result is written out again.
 ROUNDS_PER_CUT = 3
@@ -110,21 +109,26 @@ def bandwidth(coords: DataFrame, dims: int) -> list[float]:
     return [float(row[f"s{i}"] or 0.0) * shrink or 1.0 for i in range(dims)]
 
 
-def _key(parts: Column) -> Column:
-    return F.array_join(F.transform(parts, lambda x: x.cast("string")), ":")
+def _key(parts: Sequence[Column]) -> Column:
+    return F.concat_ws(":", *[p.cast("string") for p in parts])
 
 
 def assign_cells(coords: DataFrame, widths: Sequence[float]) -> DataFrame:
     """Add ``cell ARRAY<BIGINT>`` and its text form ``cell_key``."""
-    cell = F.array(*[F.floor(F.get("coords", F.lit(i)) / w).cast("long") for i, w in enumerate(widths)])
-    return coords.withColumn("cell", cell).withColumn("cell_key", _key(F.col("cell")))
+    parts = [F.floor(F.get("coords", F.lit(i)) / w).cast("long") for i, w in enumerate(widths)]
+    return coords.withColumn("cell", F.array(*parts)).withColumn("cell_key", _key(parts))
 
 
-def _neighbours(cell: Column, dims: int, with_self: bool) -> Column:
-    """Keys of the cells that touch a cell."""
-    offsets = [o for o in product((-1, 0, 1), repeat=dims) if with_self or any(o)]
-    steps = F.array(*[F.array(*[F.lit(x).cast("long") for x in o]) for o in offsets])
-    return F.transform(steps, lambda o: _key(F.zip_with(cell, o, lambda a, b: a + b)))
+def _with_neighbours(cells: DataFrame, dims: int, *columns: str) -> DataFrame:
+    """A row per cell and touching cell, itself included, with the key ``near``.
+
+    One explode per dimension keeps the 3 ** dims rows of a cell inside generated code.
+    """
+    out = cells.select("cell", "cell_key", *columns)
+    for i in range(dims):
+        out = out.withColumn(f"_{i}", F.explode(F.array(*[F.lit(x).cast("long") for x in (-1, 0, 1)])))
+    key = _key([F.get("cell", F.lit(i)) + F.col(f"_{i}") for i in range(dims)])
+    return out.select("cell_key", *columns, key.alias("near"))
 
 
 def dense_cells(cells: DataFrame, dims: int, min_points: int) -> DataFrame:
@@ -133,8 +137,8 @@ def dense_cells(cells: DataFrame, dims: int, min_points: int) -> DataFrame:
     ``cells`` is ``(cell, cell_key, n)``. Every cell adds its count to its neighbours, so
     the sums are combined before the shuffle.
     """
-    lent = cells.select(F.explode(_neighbours(F.col("cell"), dims, True)).alias("cell_key"), "n")
-    density = lent.groupBy("cell_key").agg(F.sum("n").alias("density"))
+    lent = _with_neighbours(cells, dims, "n").groupBy(F.col("near").alias("cell_key"))
+    density = lent.agg(F.sum("n").alias("density"))
     return cells.join(density.where(F.col("density") >= min_points), "cell_key")
 
 
@@ -173,14 +177,13 @@ def cell_topics(cells: DataFrame, dims: int, min_points: int) -> DataFrame:
 
     A cell next to several topics goes to the neighbour with the smallest label.
     """
-    dense = cut_lineage(dense_cells(cells, dims, min_points))
-    touch = dense.select(F.col("cell_key").alias("src"), F.explode(_neighbours(F.col("cell"), dims, False)).alias("dst"))
-    edges = touch.join(dense.select(F.col("cell_key").alias("dst")), "dst", "left_semi").select("src", "dst")
+    dense = spread_rows(cut_lineage(dense_cells(cells, dims, min_points)))
+    touch = _with_neighbours(dense, dims).where("near != cell_key")
+    known = dense.select(F.col("cell_key").alias("near"))
+    edges = touch.join(known, "near", "left_semi").select(F.col("cell_key").alias("src"), F.col("near").alias("dst"))
     labels = connected_components(dense.select(F.col("cell_key").alias("node")), edges)
     core = labels.select(F.col("node").alias("cell_key"), "label")
-    fringe = cells.join(core, "cell_key", "left_anti").select(
-        "cell_key", F.explode(_neighbours(F.col("cell"), dims, False)).alias("near")
-    )
+    fringe = _with_neighbours(cells.join(core, "cell_key", "left_anti"), dims)
     border = (
         fringe.join(core.withColumnRenamed("cell_key", "near"), "near")
         .groupBy("cell_key")
@@ -207,9 +210,9 @@ def density_topics(
         widths = bandwidth(coords, dims)
     dims = len(widths)
     placed = assign_cells(coords, widths).select("id", "cell", "cell_key")
-    cells = cut_lineage(
-        placed.groupBy("cell_key").agg(F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"))
-    )
+    counted = placed.groupBy("cell_key").agg(F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"))
+    # each cell turns into 3 ** dims rows, so few small partitions are spread first
+    cells = spread_rows(cut_lineage(counted))
     labelled = cell_topics(cells, dims, min_points)
     sizes = labelled.join(cells, "cell_key").groupBy("label").agg(F.sum("n").alias("size"))
     large = sizes.where(F.col("size") >= min_topic_size)
