@@ -147,7 +147,7 @@ def test_report_tables(spark, analysis):
     summary = {r["dominant_topic"]: r["top_list"] for r in found["topic_summary"].collect()}
     assert summary[0] == "a(66.7%), b(33.3%)" and 3 not in summary
     with pytest.raises(KeyError):
-        re.topic_trend(analysis, analysis)
+        re.topic_trend(analysis)
 
 
 def test_repeatable_sample(spark):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicloom.catalog.base import (
-    K, analysis_sql, cont_sql, fixed_topics, other_topics, papers, papers_sql, predicted_sql, query, rounded, scores_sql, with_sql,
+    K, analysis_sql, fixed_topics, other_topics, papers, papers_sql, predicted_sql, query, rounded, scores_sql, with_sql,
 )
 from topicloom.operators import alignment as al, comparison as cm, metrics as me
 from topicloom.plans.runs import run_report
+from topicloom.runtime import cut_lineage
 
 SPLIT = "list_transform(string_split(categories, ','), lambda x: trim(x))"
 
@@ -23,7 +24,7 @@ def contingency(spark, sf, category="lang"):
 
 def pairs(spark, sf, category="lang"):
     """Label pairs from the fixed topics."""
-    table = contingency(spark, sf, category)
+    table = cut_lineage(contingency(spark, sf, category))
     return al.label_pairs(table, al.predicted_by_topic(table, K))
 
 
@@ -278,26 +279,29 @@ def topic_accuracy(spark, sf):
     return rounded(me.topic_accuracy(table, al.predicted_by_topic(table, WIDE)), "accuracy")
 
 
-def _method_sql(name: str, k: int, position: int, category: str) -> str:
-    """CTEs of one method, all names with its prefix; ends in ``<name>_row``."""
-    sql = ",\n".join([cont_sql(), predicted_sql(k), _SUPPORTED, scores_sql("kept"), _TOP, scores_sql("top_pairs", "top_scores")])
-    for old in ("analysis", "cont", "best", "predicted", "pairs", "valid", "kept", "scores", "top", "top_pairs", "top_scores"):
-        import re
-
-        sql = re.sub(rf"(?<![\w.]){old}(?= AS \(|\.|\b(?= [a-z]\b|\)|,| WHERE| GROUP| USING| JOIN|\s*$))", f"{name}_{old}", sql)
-        sql = re.sub(rf"(FROM|JOIN) {old}\b", rf"\1 {name}_{old}", sql)
-    return sql + f""",
-{name}_row AS (SELECT '{name}' AS method, CAST(sum(recall * support) / sum(support) AS DOUBLE) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted,
+def _method_sql(m: str, k: int, position: int) -> str:
+    """CTEs of method ``m`` from ``{m}_analysis`` to its summary ``{m}_row``."""
+    return f"""{m}_cont AS (SELECT primary_category, dominant_topic, count(*) AS n FROM {m}_analysis WHERE primary_category IS NOT NULL GROUP BY ALL),
+{m}_best AS (SELECT dominant_topic, primary_category AS predicted_category FROM {m}_cont
+  QUALIFY row_number() OVER (PARTITION BY dominant_topic ORDER BY n DESC, primary_category) = 1),
+{m}_pairs AS (SELECT primary_category AS true_category, predicted_category, CAST(sum(n) AS BIGINT) AS n
+  FROM {m}_cont JOIN {m}_best USING (dominant_topic) GROUP BY ALL),
+{m}_size AS (SELECT true_category, sum(n) AS support FROM {m}_pairs GROUP BY 1),
+{m}_kept AS (SELECT * FROM {m}_pairs WHERE true_category IN (SELECT true_category FROM {m}_size WHERE support >= {MIN_SUPPORT})),
+{scores_sql(f"{m}_kept", f"{m}_scores")},
+{m}_top AS (SELECT * FROM {m}_pairs WHERE true_category IN (SELECT true_category FROM {m}_size ORDER BY support DESC, true_category LIMIT 10)),
+{scores_sql(f"{m}_top", f"{m}_top_scores")},
+{m}_row AS (SELECT '{m}' AS method, CAST(sum(recall * support) / sum(support) AS DOUBLE) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted,
   avg(f1) AS f1_macro, {k} AS num_topics,
-  (SELECT sum(recall * support) / sum(support) FROM {name}_top_scores) AS top_accuracy,
-  (SELECT sum(f1 * support) / sum(support) FROM {name}_top_scores) AS top_f1_weighted, {position} AS position FROM {name}_scores)"""
+  (SELECT sum(recall * support) / sum(support) FROM {m}_top_scores) AS top_accuracy,
+  (SELECT sum(f1 * support) / sum(support) FROM {m}_top_scores) AS top_f1_weighted, {position} AS position FROM {m}_scores)"""
 
 
 def _methods_sql(category: str = "lang") -> str:
     """Rows of both fixed topic matrices; ``methods`` holds them."""
-    first = f"fixed_analysis AS (SELECT * FROM analysis),\n{_method_sql('fixed', K, 0, category)}"
+    first = f"fixed_analysis AS (SELECT * FROM analysis),\n{_method_sql('fixed', K, 0)}"
     second = f"""other_analysis AS MATERIALIZED (SELECT p.*, CAST(d.size % 3 AS INTEGER) AS dominant_topic FROM papers p JOIN dist d USING (id)),
-{_method_sql('other', 3, 1, category)}"""
+{_method_sql('other', 3, 1)}"""
     return f"{analysis_sql(category)},\n{first},\n{second},\nmethods AS (SELECT * FROM fixed_row UNION ALL SELECT * FROM other_row)"
 
 

@@ -132,7 +132,7 @@ def topic_trend(spark, sf):
     orders = table(spark, sf, "orders").select(
         F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 4).cast("int").alias("dominant_topic")
     )
-    return rounded(re.topic_trend(orders, orders), "share")
+    return rounded(re.topic_trend(orders), "share")
 
 
 @query("r10_document_trend", with_sql(
@@ -144,7 +144,7 @@ def topic_trend(spark, sf):
     FROM g LEFT JOIN c USING (year, dominant_topic)"""))
 def document_trend(spark, sf):
     docs = analysis(spark, sf).select(F.year("published").alias("year"), "dominant_topic")
-    return rounded(re.topic_trend(docs, docs), "share")
+    return rounded(re.topic_trend(docs), "share")
 
 
 @query("r11_best_categories", with_sql(

@@ -63,22 +63,24 @@ def with_term_ids(terms: DataFrame) -> DataFrame:
     return terms.withColumn("term_id", F.row_number().over(ordered) - 1)
 
 
-def vocabulary(
-    docs: DataFrame,
-    min_df: int = 2,
-    max_df: float = 0.95,
-    max_terms: int = 10_000,
-    keep_by: str = "ctf",
+def count_terms(docs: DataFrame, min_df: int = 2) -> DataFrame:
+    """Term frequencies of one pass over the texts, written out.
+
+    ``(term, df, ctf)`` of the terms in at least ``min_df`` documents; the row without a
+    term holds the number of documents. Its size follows the terms, not the texts.
+    """
+    found = document_frequencies(docs, with_total=True)
+    return cut_lineage(found.where((F.col("df") >= min_df) | F.col("term").isNull()))
+
+
+def vocabulary_of(
+    counted: DataFrame, min_df: int = 2, max_df: float = 0.95, max_terms: int = 10_000, keep_by: str = "ctf"
 ) -> DataFrame:
-    """``(term, term_id, df, ctf, idf)`` of the ``max_terms`` most frequent terms.
+    """``(term, term_id, df, ctf, idf)`` of the ``max_terms`` most frequent terms of ``count_terms``.
 
     ``keep_by`` is the frequency that decides: ``ctf`` (occurrences) for TF-IDF features,
     ``df`` (documents) for bag-of-words features. Ties go to the smaller term.
     """
-    # terms and number of documents come from one pass over the texts; what is left of it,
-    # one row per term, is written so that neither is computed again
-    found = document_frequencies(docs, with_total=True)
-    counted = cut_lineage(found.where((F.col("df") >= min_df) | F.col("term").isNull()))
     n_docs = counted.where(F.col("term").isNull()).select("df").scalar()
     kept = prune(counted.where(F.col("term").isNotNull()), n_docs, min_df, max_df)
     top = kept.orderBy(F.desc(keep_by), "term").limit(max_terms)
@@ -87,6 +89,13 @@ def vocabulary(
     return cut_lineage(with_term_ids(top).select("term", "term_id", "df", "ctf", idf.alias("idf")))
 
 
+def vocabulary(
+    docs: DataFrame, min_df: int = 2, max_df: float = 0.95, max_terms: int = 10_000, keep_by: str = "ctf"
+) -> DataFrame:
+    """Vocabulary of a corpus, see ``vocabulary_of``."""
+    return vocabulary_of(count_terms(docs, min_df), min_df, max_df, max_terms, keep_by)
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """A fitted vocabulary on the driver: at most the cap's number of terms."""
@@ -192,11 +201,19 @@ def tfidf_features(
 
 
 def build_features(docs: DataFrame, config: TopicConfig = TopicConfig()) -> dict[str, DataFrame]:
-    """Feature tables of a run: the chosen weighting, and bag-of-words in any case."""
-    bow_vocab, bow = bow_features(docs, config.min_df, config.max_df, config.bow_max_terms)
+    """Feature tables of a run: the chosen weighting, and bag-of-words in any case.
+
+    With single words both vocabularies come from the same counted terms.
+    """
+    counted = count_terms(docs, config.min_df)
+    bow_vocab = vocabulary_of(counted, config.min_df, config.max_df, config.bow_max_terms, keep_by="df")
+    bow = bag_of_words(docs, Lexicon.of(bow_vocab))
     tables = {"vocabulary_bow": bow_vocab, "bow": bow}
-    if config.weighting == "tfidf":
-        vocab, rows = tfidf_features(docs, config.min_df, config.max_df, config.max_features, config.ngram_range)
-        return {**tables, "vocabulary": vocab, "features": rows}
-    weights = bow.select("id", "term_id", F.col("tf").cast("double").alias("weight"))
-    return {**tables, "vocabulary": bow_vocab, "features": weights}
+    if config.weighting != "tfidf":
+        weights = bow.select("id", "term_id", F.col("tf").cast("double").alias("weight"))
+        return {**tables, "vocabulary": bow_vocab, "features": weights}
+    grams = add_ngrams(docs, *config.ngram_range)
+    if grams is not docs:
+        counted = count_terms(grams, config.min_df)
+    vocab = vocabulary_of(counted, config.min_df, config.max_df, config.max_features)
+    return {**tables, "vocabulary": vocab, "features": long_rows(tfidf_vectors(grams, Lexicon.of(vocab)))}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from topicloom.runtime import cut_lineage
 
 def _ratio(top: Column, bottom: Column) -> Column:
     """Division that gives 0 where the divisor is 0."""
@@ -135,7 +136,11 @@ def confusion(pairs: DataFrame, categories: DataFrame) -> DataFrame:
 def classification(
     pairs: DataFrame, categories: DataFrame | None = None, min_support: int | None = None
 ) -> dict[str, DataFrame]:
-    """All metrics, after the minimum-support filter where one is given."""
+    """All metrics, after the minimum-support filter where one is given.
+
+    The pairs are written first: a row per true and predicted category, read many times.
+    """
+    pairs = cut_lineage(pairs)
     listed = universe(pairs) if categories is None else categories.select("category")
     if min_support is not None:
         listed = listed.join(supported(pairs, min_support).select("category"), "category", "left_semi")
@@ -150,6 +155,7 @@ def classification(
 
 def top_classification(pairs: DataFrame, n: int = 10) -> dict[str, DataFrame]:
     """Metrics on documents of the ``n`` largest categories only."""
+    pairs = cut_lineage(pairs)
     largest = top_categories(pairs, n)
     return classification(keep_true(pairs, largest), largest)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from topicloom.runtime import row_total
+from topicloom.runtime import cut_lineage, row_total
 
 
 def normalised_confusion(confusion: DataFrame) -> DataFrame:
@@ -74,15 +74,17 @@ def top_words(topic_words: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def topic_trend(analysis: DataFrame, topics: DataFrame, year: str = "year") -> DataFrame:
+def topic_trend(analysis: DataFrame, year: str = "year") -> DataFrame:
     """Share of each topic in each year, zeros included, as ``(year, dominant_topic, n, share)``.
 
     Topics are those seen in any year. Raises KeyError without a year column.
     """
     if year not in analysis.columns:
         raise KeyError(f"no column {year!r}")
-    counts = analysis.groupBy(F.col(year).alias("year"), "dominant_topic").agg(F.count(F.lit(1)).alias("n"))
-    seen = topics.agg(F.collect_set("dominant_topic").alias("all")).scalar()
+    counts = cut_lineage(
+        analysis.groupBy(F.col(year).alias("year"), "dominant_topic").agg(F.count(F.lit(1)).alias("n"))
+    )
+    seen = counts.agg(F.collect_set("dominant_topic").alias("all")).scalar()
     grid = counts.select("year").distinct().select("year", F.explode(seen).alias("dominant_topic"))
     filled = grid.join(counts, ["year", "dominant_topic"], "left").na.fill(0, ["n"])
     return filled.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("year")))

@@ -199,7 +199,7 @@ def run_report(
         "dashboard": report.dashboard_totals(analysis, topic_words),
     }
     if "year" in docs.columns:
-        out["topic_trend"] = report.topic_trend(analysis, analysis.select("dominant_topic"))
+        out["topic_trend"] = report.topic_trend(analysis)
     if sweep is not None:
         out["run_summary"] = report.run_summary(result["summary"], result["overall"], out["category_totals"], sweep)
         out["sweep_curve"] = report.sweep_curve(sweep)
