@@ -186,12 +186,16 @@ def test_reduce_topics_keeps_outliers(spark, planted):
 def test_soft_topics_follow_the_nearest_centre(spark):
     rows = vector_groups(far=0)
     df = spark.createDataFrame([(i, v, t) for i, v, t in rows], "id long, coords array<double>, topic int")
-    soft = cl.document_topics(df.select("id", "coords"), df.select("id", "topic"), 4, 16)
+    soft = cl.document_topics(df.select("id", "coords"), df.select("id", "topic"), 16)
     got = {r["id"]: r["dominant_topic"] for r in al.dominant_topics(soft).collect()}
     assert all(got[i] == t for i, _, t in rows)
 
 
 def test_embeddings(spark, planted):
+    with pytest.raises(ValueError):
+        cl.embed(planted.docs)
+    trained = cl.embed(planted.docs, planted.lexicon, dims=8, trained=True).collect()
+    assert all(len(r["embedding"]) == 8 for r in trained) and len(trained) == 300
     hashed = cl.embed(planted.vectors, lexicon=planted.lexicon, dims=32).collect()
     assert all(len(r["embedding"]) == 32 for r in hashed) and len(hashed) == 300
 

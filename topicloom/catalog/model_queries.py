@@ -272,7 +272,8 @@ def hash_embedding(spark, sf):
 
 @query("m15_word_embedding")
 def word_embedding(spark, sf):
-    return cl.word_embedding(processed(spark, sf).select("id", "tokens"), dims=DIMS)
+    docs = processed(spark, sf).select("id", "tokens")
+    return cl.embed(docs, fe.Lexicon.of(fe.vocabulary(docs)), dims=DIMS, trained=True)
 
 
 @query("m15_given_embedding", "SELECT vec_id AS id, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings")
@@ -402,7 +403,7 @@ close AS (SELECT id, cen.topic AS topic_id, 1 / (1 + sqrt((a - ca) ** 2 + (b - c
 @query("m20_soft_topics", with_sql(_SOFT, select="SELECT id, topic_id, round(s / sum(s) OVER (PARTITION BY id), 6) AS weight FROM close"))
 def soft_topics(spark, sf):
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 4).cast("int").alias("topic"))
-    found = cl.document_topics(embedding_coords(spark, sf), labels, 4, 3)
+    found = cl.document_topics(embedding_coords(spark, sf), labels, 3)
     return rounded(found.select("id", F.posexplode("topic_dist").alias("topic_id", "weight")), "weight")
 
 

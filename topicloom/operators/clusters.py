@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,6 +27,9 @@ from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join
 #: Rounds of merging labels before the result is written out again.
 ROUNDS_PER_CUT = 3
 
+#: Topics whose centroids are sent to the tasks for dense document weights.
+MAX_CENTRES = 20_000
+
 
 # -- document vectors --------------------------------------------------------------
 
@@ -62,33 +66,52 @@ def hash_embedding(vectors: DataFrame, lexicon: Lexicon, dims: int = 64) -> Data
     return rows.mapInArrow(project, f"id {kind}, embedding array<double>")
 
 
-def word_embedding(docs: DataFrame, dims: int = 64, seed: int = 42, min_count: int = 2) -> DataFrame:
-    """``(id, embedding)``: mean of word vectors trained on the corpus."""
-    model = Word2Vec(vectorSize=dims, minCount=min_count, seed=seed, inputCol="tokens", outputCol="_v").fit(docs)
-    return model.transform(docs).select("id", vector_to_array("_v").alias("embedding"))
+def word_embedding(docs: DataFrame, lexicon: Lexicon, dims: int = 64, seed: int = 42) -> DataFrame:
+    """``(id, embedding)``: mean of word vectors trained on the corpus.
+
+    Only words of the capped vocabulary are trained, which bounds the word vectors, and
+    every core trains on its own share of the documents.
+    """
+    known = docs.select("id", F.filter("tokens", lambda t: t.isin(list(lexicon.terms))).alias("_known"))
+    trainer = Word2Vec(
+        vectorSize=dims,
+        minCount=1,
+        seed=seed,
+        numPartitions=docs.sparkSession.sparkContext.defaultParallelism,
+        inputCol="_known",
+        outputCol="_v",
+    )
+    known.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = trainer.fit(known)
+    finally:
+        known.unpersist()
+    return model.transform(known).select("id", vector_to_array("_v").alias("embedding"))
 
 
 def embed(
     docs: DataFrame,
-    embedding_column: str | None = None,
     lexicon: Lexicon | None = None,
+    embedding_column: str | None = None,
     encoder=None,
     dims: int = 64,
+    trained: bool = False,
     seed: int = 42,
 ) -> DataFrame:
     """Document vectors from a supplied column, a user's encoder, or the text itself.
 
     ``encoder`` is a ``mapInPandas`` function that turns ``(id, text)`` frames into
-    ``(id, embedding)`` frames. With a ``lexicon``, ``docs`` must have ``features``.
+    ``(id, embedding)`` frames. Otherwise ``docs`` needs a ``lexicon`` and ``features`` for
+    the hashed text, or ``tokens`` for ``trained`` word vectors.
     """
     if embedding_column is not None:
         return docs.select("id", F.col(embedding_column).cast("array<double>").alias("embedding"))
     if encoder is not None:
         kind = docs.schema["id"].dataType.simpleString()
         return docs.select("id", "text").mapInPandas(encoder, f"id {kind}, embedding array<double>")
-    if lexicon is not None:
-        return hash_embedding(docs, lexicon, dims)
-    return word_embedding(docs, dims, seed)
+    if lexicon is None:
+        raise ValueError("vectors from the text need a lexicon")
+    return word_embedding(docs, lexicon, dims, seed) if trained else hash_embedding(docs, lexicon, dims)
 
 
 def reduce_dimensions(embeddings: DataFrame, k: int = 5) -> DataFrame:
@@ -361,7 +384,17 @@ def soft_topics(coords: DataFrame, centres: Sequence[Sequence[float]]) -> DataFr
     return coords.select("id", "coords").mapInArrow(score, f"id {kind}, topic_dist array<double>")
 
 
-def document_topics(coords: DataFrame, assigned: DataFrame, k: int, dims: int) -> DataFrame:
-    """Soft topic weights from the centroids of ``k`` topics."""
-    rows = centroids(coords, assigned, dims).orderBy("topic").collect()
-    return soft_topics(coords, [r["centroid"] for r in rows[:k]])
+def centre_matrix(centres: DataFrame) -> list[list[float]]:
+    """Centroids in topic order, for the tasks.
+
+    The size is checked before anything is collected: every document gets a weight per
+    topic, so beyond ``MAX_CENTRES`` the topics have to be merged first.
+    """
+    if centres.limit(MAX_CENTRES + 1).count() > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} topics; merge them with reduce_topics first")
+    return [r["centroid"] for r in centres.orderBy("topic").collect()]
+
+
+def document_topics(coords: DataFrame, assigned: DataFrame, dims: int) -> DataFrame:
+    """Soft topic weights from the centroids of the assigned topics."""
+    return soft_topics(coords, centre_matrix(centroids(coords, assigned, dims)))

@@ -139,8 +139,7 @@ def run_clusters(
     centres = models.save_clusters(clusters.centroids(coords, assigned, dims), f"{base}/model")
     weights = clusters.class_tfidf(clusters.class_counts(docs, assigned))
     words = clusters.topic_words(weights, config.words_per_topic)
-    ordered = [r["centroid"] for r in centres.orderBy("topic").collect()]
-    out = _finish(base, words, clusters.soft_topics(coords, ordered), k, None)
+    out = _finish(base, words, clusters.soft_topics(coords, clusters.centre_matrix(centres)), k, None)
     return {**out, "assigned_topic": assigned, "detected": detected}
 
 
