@@ -75,9 +75,10 @@ def clean_text(c: Column | str, unicode: bool = False) -> Column:
     Dropping symbols and then squeezing spaces leaves one space for every run of
     characters that are neither letter nor digit, so both are one replacement here.
     """
-    kept = r"\p{L}\p{N}" if unicode else "a-zA-Z0-9"
+    # \P{Alnum} is [^a-zA-Z0-9], but several times faster: one table lookup per character
+    dropped = r"[^\p{L}\p{N}]+" if unicode else r"\P{Alnum}+"
     text = drop_emails(drop_urls(F.lower(fill_missing(c))))
-    return F.trim(F.regexp_replace(text, f"[^{kept}]+", " "))
+    return F.trim(F.regexp_replace(text, dropped, " "))
 
 
 def _split_words(c: Column | str) -> Column:
