@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicloom.llm import factorisation, near_duplicates, packing, quality_rules, toxicity
+from topicloom.llm import factorisation, licences, near_duplicates, packing, piece_encoding, quality_rules, toxicity, url_trust
 from topicloom.llm.common import fold, table
 from topicloom.llm.sql import QUALITY_RULES_SQL
 
@@ -24,11 +24,48 @@ def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Verdicts on hosts and starts of paths. Fixed values of the query.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op4_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_encoding.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdicts.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: below their source, and for two thirds of the ids also below their
+    language; a text that begins with its licence line is a licence file of its directory."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.col("doc_id").cast("string")
+    path = F.when(F.col("doc_id") % 3 == 0, F.concat_ws("/", "source", name)).otherwise(
+        F.concat_ws("/", "source", "lang", name)
+    )
+    first = F.substring_index("text", "\n", 1).rlike("(?i)licen[sc]e")
+    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text", first.alias("is_licence_file"))
+    return licences.scanned(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -50,6 +87,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_duplicates, op3_factorisation_machine, op7_quality_rules, op9_toxicity, op10_packing)
+    for f in (
+        op1_near_duplicates,
+        op3_factorisation_machine,
+        op4_url_trust,
+        op5_piece_encoding,
+        op7_quality_rules,
+        op8_licences,
+        op9_toxicity,
+        op10_packing,
+    )
 }
 ORACLES = {"op7_quality_rules": QUALITY_RULES_SQL}
