@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicloom.llm import factorisation, licences, near_duplicates, packing, piece_encoding, quality_rules, toxicity, url_trust
+from topicloom.llm import factorisation, katz, licences, near_duplicates, nearest, packing, piece_encoding, quality_rules, toxicity, url_trust
 from topicloom.llm.common import fold, table
 from topicloom.llm.sql import QUALITY_RULES_SQL
 
@@ -16,6 +16,12 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.fold_scores(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = factorisation.score(docs, factorisation.train(docs, table(spark, sf_dir, "labels")))
@@ -24,6 +30,10 @@ def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 #: Verdicts on hosts and starts of paths. Fixed values of the query.
 URL_RULES = (
     ("allow", "org/"),
@@ -89,9 +99,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates,
+        op2_katz_backoff,
         op3_factorisation_machine,
         op4_url_trust,
         op5_piece_encoding,
+        op6_nearest,
         op7_quality_rules,
         op8_licences,
         op9_toxicity,
