@@ -82,18 +82,19 @@ def text_statistics(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_at", F.sort_array(F.transform(twice, lambda x: x["at"])))
     covered = F.transform("_at", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("_at", i + 1) - x, F.lit(3))))
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.select(
-        "row",
-        "doc_id",
-        "stratum",
+    rows = rows.withColumn("_repeated", F.coalesce(total, F.lit(0)).cast("long"))
+    counts = F.struct(
         "n_words",
         F.length(F.regexp_replace("text", WORD_GAP, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(total, F.lit(0)).cast("long").alias("n_repeat_words"),
-    ).withColumn(
-        "base_failed",
-        (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
+        F.col("_repeated").alias("n_repeat_words"),
+        ((F.col("n_words") < 50) | (100 * F.col("_repeated") > 50 * F.col("n_words"))).alias("base_failed"),
+    )
+    # an explode of one element, since later filters would otherwise be moved down to the
+    # text and compute the nested arrays over and over
+    return rows.select("row", "doc_id", "stratum", F.explode(F.array(counts)).alias("_counts")).select(
+        "row", "doc_id", "stratum", "_counts.*"
     )
 
 
