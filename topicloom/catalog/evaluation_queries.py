@@ -114,7 +114,9 @@ def average_purity(spark, sf):
     papers_sql("source"), select="""SELECT id, primary_category, CAST(dense_rank() OVER (ORDER BY primary_category) - 1 AS INTEGER) AS label FROM papers"""))
 def category_labels(spark, sf):
     docs = papers(spark, sf, "source").select("id", "primary_category")
-    return docs.join(al.category_labels(docs), "primary_category")
+    labels = al.category_labels(docs).withColumnRenamed("primary_category", "_category")
+    same = F.col("primary_category").eqNullSafe(F.col("_category"))  # a missing category has a label too
+    return docs.join(labels, same).drop("_category")
 
 
 _ARI = """m AS (SELECT (SELECT sum(n * (n - 1) / 2.0) FROM cont) AS i,

@@ -15,9 +15,6 @@ from topicloom.operators import clusters as cl, coherence as ch, features as fe,
 from topicloom.plans import runs
 from topicloom.runtime import cut_lineage, shared_path
 
-#: Fewer passes than the default, so that a query with several fits stays short.
-PASSES = 3
-
 
 def _counted(tables: dict, names: tuple[str, ...]):
     """Name and row count of each table."""
@@ -39,13 +36,13 @@ def lda_fit(spark, sf):
 @query("m02_lda_quality")
 def lda_quality(spark, sf):
     with Fitted(spark, sf) as f:
-        return lda.fit_quality(lda.fit_lda(f.vectors, 5, passes=PASSES), f.vectors)
+        return lda.fit_quality(lda.fit_lda(f.vectors, 5), f.vectors)
 
 
 @query("m03_lda_sweep")
 def lda_sweep(spark, sf):
     with Fitted(spark, sf) as f:
-        return lda.sweep(f.vectors, f.docs, f.lexicon, TopicConfig().lda_topics, passes=PASSES)[0]
+        return lda.sweep(f.vectors, f.docs, f.lexicon, TopicConfig().lda_topics)[0]
 
 
 @query("m04_lda_fixed_k")
@@ -53,26 +50,26 @@ def lda_fixed_k(spark, sf):
     config = TopicConfig()
     with Fitted(spark, sf) as f:
         k = config.middle(config.lda_topics)
-        return lda.topic_words(lda.fit_lda(f.vectors, k, passes=PASSES), f.lexicon)
+        return lda.topic_words(lda.fit_lda(f.vectors, k), f.lexicon)
 
 
 @query("m05_lda_topic_words")
 def lda_topic_words(spark, sf):
     with Fitted(spark, sf) as f:
-        return lda.topic_words(lda.fit_lda(f.vectors, 3, passes=PASSES), f.lexicon, 10)
+        return lda.topic_words(lda.fit_lda(f.vectors, 3), f.lexicon, 10)
 
 
 @query("m06_lda_document_topics")
 def lda_document_topics(spark, sf):
     with Fitted(spark, sf) as f:
-        return lda.document_topics(lda.fit_lda(f.vectors, 3, passes=PASSES), f.vectors)
+        return lda.document_topics(lda.fit_lda(f.vectors, 3), f.vectors)
 
 
 @query("m07_lda_tables")
 def lda_tables(spark, sf):
     """Rows of every table of a whole run without a sweep."""
     features = runs.run_features(papers(spark, sf), shared_path(spark, "m07"))
-    found = runs.run_lda(features, shared_path(spark, "lda"), find_optimal=False, passes=PASSES)
+    found = runs.run_lda(features, shared_path(spark, "lda"), find_optimal=False)
     return _counted(found, ("topic_words", "document_topics", "fit_quality", "topic_shares", "term_relevance", "term_saliency", "topic_distances"))
 
 
@@ -334,7 +331,7 @@ def density_reduced(spark, sf):
 
 @query("m17_fixed_topics")
 def fixed_k_topics(spark, sf):
-    return cl.fixed_topics(embedding_coords(spark, sf, 16), 5)
+    return cl.fixed_topics(embedding_coords(spark, sf, 64), 5)
 
 
 def _merge_sql(k: int, start: int = 5) -> str:
@@ -395,15 +392,15 @@ def one_hot(spark, sf):
     return rows.select("id", F.posexplode("d").alias("topic_id", "weight"))
 
 
-_SOFT = """pts AS (SELECT vec_id AS id, CAST(label % 4 AS INTEGER) AS topic, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c FROM embeddings),
-cen AS (SELECT topic, avg(a) AS ca, avg(b) AS cb, avg(c) AS cc FROM pts GROUP BY topic),
-close AS (SELECT id, cen.topic AS topic_id, 1 / (1 + sqrt((a - ca) ** 2 + (b - cb) ** 2 + (c - cc) ** 2)) AS s FROM pts, cen)"""
+_SOFT = """pts AS (SELECT vec_id AS id, CAST(label % 4 AS INTEGER) AS topic, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+cen AS (SELECT topic, i, avg(v) AS m FROM pts GROUP BY ALL),
+close AS (SELECT id, cen.topic AS topic_id, 1 / (1 + sqrt(sum((v - m) ** 2))) AS s FROM pts JOIN cen USING (i) GROUP BY id, cen.topic)"""
 
 
 @query("m20_soft_topics", with_sql(_SOFT, select="SELECT id, topic_id, round(s / sum(s) OVER (PARTITION BY id), 6) AS weight FROM close"))
 def soft_topics(spark, sf):
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 4).cast("int").alias("topic"))
-    found = cl.document_topics(embedding_coords(spark, sf), labels, 3)
+    found = cl.document_topics(embedding_coords(spark, sf, 64), labels, 64)
     return rounded(found.select("id", F.posexplode("topic_dist").alias("topic_id", "weight")), "weight")
 
 

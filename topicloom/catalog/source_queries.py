@@ -56,7 +56,7 @@ def lda_model(spark, sf):
     """Topic words of a model that was saved and loaded."""
     with Fitted(spark, sf) as f:
         path = shared_path(spark, "lda")
-        mo.save_lda(lda.fit_lda(f.vectors, 5, passes=5), f.vocab, path)
+        mo.save_lda(lda.fit_lda(f.vectors, 5), f.vocab, path)
         model, lexicon = mo.load_lda(spark, path)
         return lda.topic_words(model, lexicon)
 

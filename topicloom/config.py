@@ -32,7 +32,8 @@ class TopicConfig:
     lda_topics: tuple[int, ...] = (3, 5, 7, 10)
     lda_topic_prior: float = 0.01
     lda_passes: int = 20
-    lda_chunk: int = 2000
+    #: Share of the documents that one update of the online fit samples, at every size.
+    lda_batch_share: float = 1.0
     lda_restarts: int = 1
     coherence: str = "c_v"
 

@@ -30,21 +30,52 @@ DOMAIN_STOPWORDS = tuple(
 
 # Plurals that the suffix rules get wrong.
 IRREGULAR_PLURALS = {
+    "alias": "alias",
+    "aliases": "alias",
     "analyses": "analysis",
+    "analytics": "analytics",
+    "atlas": "atlas",
     "axes": "axis",
+    "bias": "bias",
+    "biases": "bias",
+    "caches": "cache",
+    "canvas": "canvas",
+    "chaos": "chaos",
     "children": "child",
     "corpora": "corpus",
     "crises": "crisis",
     "criteria": "criterion",
+    "dynamics": "dynamics",
+    "economics": "economics",
     "feet": "foot",
+    "gas": "gas",
+    "gases": "gas",
     "geese": "goose",
+    "genomics": "genomics",
+    "graphics": "graphics",
+    "headaches": "headache",
+    "heuristics": "heuristic",
     "hypotheses": "hypothesis",
     "indices": "index",
+    "lens": "lens",
+    "lenses": "lens",
+    "linguistics": "linguistics",
     "lives": "life",
+    "logistics": "logistics",
+    "mathematics": "mathematics",
     "matrices": "matrix",
+    "mechanics": "mechanics",
     "men": "man",
     "mice": "mouse",
+    "news": "news",
+    "niches": "niche",
     "phenomena": "phenomenon",
+    "physics": "physics",
+    "robotics": "robotics",
+    "semantics": "semantics",
+    "series": "series",
+    "species": "species",
+    "statistics": "statistics",
     "syntheses": "synthesis",
     "teeth": "tooth",
     "theses": "thesis",

@@ -66,18 +66,18 @@ def hash_embedding(vectors: DataFrame, lexicon: Lexicon, dims: int = 64) -> Data
     return rows.mapInArrow(project, f"id {kind}, embedding array<double>")
 
 
-def word_embedding(docs: DataFrame, lexicon: Lexicon, dims: int = 64, seed: int = 42) -> DataFrame:
+def word_embedding(docs: DataFrame, lexicon: Lexicon, dims: int = 64, seed: int = 42, parts: int = 8) -> DataFrame:
     """``(id, embedding)``: mean of word vectors trained on the corpus.
 
-    Only words of the capped vocabulary are trained, which bounds the word vectors, and
-    every core trains on its own share of the documents.
+    Only words of the capped vocabulary are trained, which bounds the word vectors. The
+    documents are trained in ``parts`` shares, so vectors don't depend on the cluster.
     """
     known = docs.select("id", F.filter("tokens", lambda t: t.isin(list(lexicon.terms))).alias("_known"))
     trainer = Word2Vec(
         vectorSize=dims,
         minCount=1,
         seed=seed,
-        numPartitions=docs.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=parts,
         inputCol="_known",
         outputCol="_v",
     )
@@ -366,8 +366,11 @@ def soft_topics(coords: DataFrame, centres: Sequence[Sequence[float]]) -> DataFr
 
     ``centres`` is topics x dimensions; only that small matrix is sent to the tasks.
     """
+    k = len(centres)
+    kind = coords.schema["id"].dataType.simpleString()
+    if not k:  # no topic, so no weights
+        return coords.select("id", F.array().cast("array<double>").alias("topic_dist"))
     fixed = np.asarray(centres, dtype=float)
-    k = len(fixed)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,7 +383,6 @@ def soft_topics(coords: DataFrame, centres: Sequence[Sequence[float]]) -> DataFr
                 [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(shares.ravel()))], ["id", "topic_dist"]
             )
 
-    kind = coords.schema["id"].dataType.simpleString()
     return coords.select("id", "coords").mapInArrow(score, f"id {kind}, topic_dist array<double>")
 
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from topicloom.config import TopicConfig
-from topicloom.runtime import cut_lineage, top_per_group
+from topicloom.runtime import cut_lineage, lookup_join, top_per_group
 
 
 def newest_first() -> list[Column]:
@@ -33,12 +34,14 @@ def category_candidates(papers: DataFrame, categories: Sequence[str], quota: int
     """Newest ``quota`` papers of each category: ``(id, published, category, rank)``.
 
     Ranks are taken before the year filter and the deduplication, so a paper that is
-    dropped later still uses up its place.
+    dropped later still uses up its place. An id that occurs several times counts once,
+    with its newest date.
     """
     wanted = F.array(*[F.lit(c) for c in categories])
     listed = papers.select(
         "id", "published", F.explode(F.array_intersect("categories", wanted)).alias("category")
     )
+    listed = listed.groupBy("id", "category").agg(F.max("published").alias("published"))
     return top_per_group(listed, ["category"], newest_first(), quota, spread="id")
 
 
@@ -51,10 +54,10 @@ def from_year(papers: DataFrame, min_year: int) -> DataFrame:
 
 
 def first_category(listed: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """One row per id: the earliest of ``categories`` keeps the paper."""
+    """One row per id: the earliest of ``categories`` keeps the paper; others don't count."""
     priority = {c: i for i, c in enumerate(categories)}
     rank = F.coalesce(*[F.when(F.col("category") == c, F.lit(i)) for c, i in priority.items()])
-    best = listed.groupBy("id").agg(F.min(F.struct(rank.alias("priority"), F.col("category"))).alias("first"))
+    best = listed.where(rank.isNotNull()).groupBy("id").agg(F.min(F.struct(rank.alias("priority"), F.col("category"))).alias("first"))
     return best.select("id", F.col("first.category").alias("category"))
 
 
@@ -142,6 +145,12 @@ def assemble_corpus(
 
     chosen = candidates.select("id", F.coalesce(*taken).alias("_step")).where(F.col("_step").isNotNull())
     names = F.array(*[F.lit(c) for c in categories])
-    # at most categories x page size ids, so the broadcast has a known bound
-    kept = papers.join(F.broadcast(chosen), "id")
+    found = lookup_join(papers, chosen, "id", how="inner")
+    # rows that repeat an id: the newest stays, among equal dates the first by content
+    order = [F.desc("published"), *[F.hash(c) for c in papers.columns]]
+    kept = (
+        found.withColumn("_copy", F.row_number().over(Window.partitionBy("id").orderBy(*order)))
+        .where("_copy = 1")
+        .drop("_copy")
+    )
     return kept.withColumns({"collected_for": F.get(names, F.col("_step")), "year": F.year("published")}).drop("_step")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
@@ -16,10 +15,6 @@ from topicloom.operators import topics
 from topicloom.operators.coherence import topic_coherence
 from topicloom.operators.features import Lexicon
 
-#: Updates per pass over the corpus. Every update scans the cached vectors once, so a
-#: large corpus is cut into this many batches instead of batches of a fixed size.
-MAX_BATCHES = 50
-
 
 def fit_lda(
     vectors: DataFrame,
@@ -32,12 +27,14 @@ def fit_lda(
     """Online LDA with a learned document prior.
 
     Each restart uses the next seed; the model with the lowest log perplexity is kept.
-    ``vectors`` should be cached: every update reads it.
+    ``vectors`` should be cached: every update reads it. An update samples the share
+    ``config.lda_batch_share`` of the documents at every corpus size, so a fit scans the
+    vectors ``passes / lda_batch_share`` times.
     """
     passes = config.lda_passes if passes is None else passes
     restarts = config.lda_restarts if restarts is None else restarts
     n_docs = vectors.count() if n_docs is None else n_docs
-    batches = min(MAX_BATCHES, max(1, ceil(n_docs / config.lda_chunk)))
+    batches = max(1, round(1 / config.lda_batch_share))
     best: tuple[float, LDAModel] | None = None
     for attempt in range(restarts):
         model = LDA(

@@ -134,8 +134,6 @@ def run_clusters(
         assigned = tables.save_table(reduced, f"{base}/assigned_reduced")
     detected = clusters.detected_topics(assigned)
     k = detected.first()["k_detected"]
-    if k == 0:
-        raise ValueError("no density topic reached the minimum size")
     centres = models.save_clusters(clusters.centroids(coords, assigned, dims), f"{base}/model")
     weights = clusters.class_tfidf(clusters.class_counts(docs, assigned))
     words = clusters.topic_words(weights, config.words_per_topic)
@@ -164,7 +162,7 @@ def run_methods(
 
 
 def topic_count(doc_topics: DataFrame) -> int:
-    return doc_topics.select(F.max(F.size("topic_dist"))).first()[0]
+    return doc_topics.select(F.max(F.size("topic_dist"))).first()[0] or 0
 
 
 def run_report(
@@ -219,10 +217,16 @@ def run_all(
     modelled = run_methods(features, f"{base}/models", config, find_optimal=find_optimal)
     done = {m: t for m, t in modelled.items() if not isinstance(t, Exception)}
     found = {m: (t["document_topics"], topic_count(t["document_topics"])) for m, t in done.items()}
+    # a method that failed or found no topic can't be compared; the run says so
+    problems = [(m, f"{type(t).__name__}: {t}") for m, t in modelled.items() if isinstance(t, Exception)]
+    problems += [(m, "no topic was found") for m, (_, k) in found.items() if not k]
+    found = {m: x for m, x in found.items() if x[1]}
+    errors = tables.save_table(spark.createDataFrame(problems, "method string, error string"), f"{base}/errors")
     docs = features["processed"]
     rows = tables.save_table(comparison.compare_methods(docs, found, config), f"{base}/method_rows")
     out = {
         **features,
+        "errors": errors,
         "method_rows": rows,
         "comparison": comparison.comparison_summary(rows),
         "best_method": comparison.best_method(rows),

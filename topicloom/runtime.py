@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,13 +17,21 @@ LOOKUP_SALTS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only when the session names none."""
+    """The cluster's shared folder, which the session names in ``spark.checkpoint.dir``.
+
+    Only a session whose driver and executors are one process may do without: a temporary
+    folder is then shared by all. Anywhere else its absence is an error.
+    """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="topicloom-"))
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="topicloom-")
+    context.setCheckpointDir(named)
     return context._jsc.sc().getCheckpointDir().get()
 
 
