@@ -11,7 +11,7 @@ before anything is shuffled. Tables are partitioned by the history's hash.
 
 Where the counts of counts don't give factors between 0 and 1, absolute discounting by
 ``n1 / (n1 + 2 n2)`` (or 0.5) takes their place. A history whose discounts free nothing
-gives up ``1 / (c + 1)``.
+gives up ``1 / (c + 1)``, and so does the lowest order.
 
 Defined cases: null and empty texts hold the end token alone; a null id is in no fold and
 is used for learning; repeated rows count and score as often as they occur; an empty
@@ -120,6 +120,8 @@ def train(docs: DataFrame, most: int = 5) -> KatzModel:
     low, high = _factors(words, most), _factors(raw, most)
     p = _discounted(F.col("c"), low) / float(max(tokens, 1))
     known = float(words.agg(F.sum(p)).first()[0] or 0.0)
+    if tokens and known > 1 - 1e-12:
+        p, known = p * (tokens / (tokens + 1)), known * tokens / (tokens + 1)
     words = _partitioned(words.withColumn("logp", F.log10(p)), "katz_words", "w")
     kept = raw.join(words.select("w", F.col("logp").alias("low"), F.col("c").alias("cw")), "w")
     kept = stored(kept.withColumn("part", _discounted(F.col("c"), high)), "pairs_with_words")

@@ -79,9 +79,9 @@ def own_licences(files: DataFrame, how: LicenceScan = LicenceScan()) -> DataFram
         "v", F.col("tf") * F.log1p(F.lit(float(total)) / F.coalesce("df", F.lit(1)))
     )
     lengths = terms.groupBy("licence").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    vectors = stored(terms.join(lengths, "licence").select("licence", "term", (F.col("v") / F.col("length")).alias("v")), "licence_templates")
+    vectors = stored(terms.join(lengths, "licence").select("licence", "term", F.try_divide("v", "length").alias("v")), "licence_templates")
     dots = weighed.join(F.broadcast(vectors), "term").groupBy("key", "licence").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosines = dots.join(norms, "key").select("key", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine"))
+    cosines = dots.join(norms, "key").select("key", "licence", F.round(F.try_divide("dot", "norm"), 9).alias("cosine"))
     best = stored(
         cosines.where(F.col("cosine") >= how.least)
         .groupBy("key")
