@@ -106,8 +106,9 @@ def _factors(counts: DataFrame, most: int) -> list[float]:
 def _partitioned(df: DataFrame, name: str, key: str, parts: int = 16) -> DataFrame:
     """Write a table with a folder for each part of the key's hashes."""
     path = shared_path(df.sparkSession, name)
-    df.withColumn("part", F.pmod(key, F.lit(parts)).cast("int")).write.partitionBy("part").parquet(path)
-    return df.sparkSession.read.parquet(path).drop("part")
+    dealt = df.withColumn("part", F.pmod(key, F.lit(parts)).cast("int"))
+    dealt.write.partitionBy("part").parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path).drop("part")
 
 
 def train(docs: DataFrame, most: int = 5) -> KatzModel:
