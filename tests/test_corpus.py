@@ -81,3 +81,17 @@ def test_lookups_agree_beyond_the_broadcast_bound(spark):
 def test_number_rows(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
     assert all(r["v"] == r["n"] for r in number_rows(df, [F.asc("v")], "n").collect())
+
+
+def test_unlisted_categories_never_win(spark):
+    listed = spark.createDataFrame([("a", "zzz"), ("a", "x"), ("b", "zzz"), ("c", None)], "id string, category string")
+    assert [tuple(r) for r in co.first_category(listed, ["x", "y"]).collect()] == [("a", "x")]
+
+
+def test_repeated_ids_are_collected_once(spark):
+    rows = [("a", "2020-01-01", "old"), ("a", "2021-01-01", "new"), ("b", "2020-06-01", "b"), ("c", "2019-01-01", "c")]
+    papers = spark.createDataFrame(rows, "id string, day string, note string").selectExpr(
+        "id", "to_timestamp(day) AS published", "note", "array('x') AS categories"
+    )
+    got = co.assemble_corpus(papers, ["x"], max_results=2, min_year=2018)
+    assert sorted((r.id, r.note) for r in got.collect()) == [("a", "new"), ("b", "b")]

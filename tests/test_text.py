@@ -115,3 +115,14 @@ def test_stream_gives_the_same_tokens(spark, tmp_path):
     job.stop()
     got = {r["id"]: r["tokens"] for r in spark.table("stream_tokens").collect()}
     assert got == {r["id"]: r["tokens"] for r in preprocess_abstracts(docs(spark)).collect()}
+
+
+def test_nouns_that_only_look_plural(spark):
+    want = {
+        "bias": "bias", "biases": "bias", "series": "series", "lens": "lens", "canvas": "canvas", "news": "news",
+        "caches": "cache", "mathematics": "mathematics", "models": "model", "studies": "study",
+    }
+    rows = spark.createDataFrame([(list(want),)], "tokens array<string>")
+    from topicloom.functions.text import lemmatize
+
+    assert rows.select(lemmatize("tokens")).first()[0] == list(want.values())
