@@ -39,7 +39,9 @@ class ToxicityModel:
 @dataclass(frozen=True)
 class ToxicityFit:
     """``sample`` bounds the labelled documents. Features found in fewer than ``support`` of
-    them are not learned, since a document's own rare words would explain its label.
+    them are not learned, since a document's own rare words would explain its label; nor are
+    those whose documents' log-odds rise by less than ``clear``, since common words would add
+    up over a sentence and hide its signs.
     ``start`` is the first bias of a sentence."""
 
     buckets: int = 1 << 20
@@ -47,7 +49,8 @@ class ToxicityFit:
     longest: int = 60
     sample: int = 12_000
     support: int = 4
-    epochs: int = 6
+    clear: float = 2.0
+    epochs: int = 12
     batch: int = 64
     rate: float = 0.3
     penalty: float = 1e-6
@@ -87,9 +90,8 @@ def _first_weights(documents: list[tuple[np.ndarray, np.ndarray, int]], how: Tox
     share = max(sum(d[2] for d in documents), 0.5) / max(len(documents), 1)
     odds = lambda a, n: np.log(a / (n - a))
     weights = odds(toxic + 4 * share, seen + 4) - odds(share, 1) if 0 < share < 1 else np.zeros(how.buckets + 1)
-    known = seen >= how.support
-    # only clear signs count, so that common words don't add up over a sentence
-    return np.where(known & (weights > 1), weights, 0.0), known
+    known = (seen >= how.support) & (weights > how.clear)
+    return np.where(known, weights, 0.0), known
 
 
 def fit(documents: list[tuple[np.ndarray, np.ndarray, int]], how: ToxicityFit) -> ToxicityModel:
