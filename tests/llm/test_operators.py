@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm_samples import SMALL
 from oracle import connect, differences
-from topicloom.llm import katz, licences, near_duplicates, quality_rules, url_trust
+from topicloom.llm import katz, licences, near_duplicates, nearest, quality_rules, url_trust
 from topicloom.llm import queries as q
 from topicloom.llm.common import table
 
@@ -172,6 +172,46 @@ def test_nearest_recall(spark):
     assert np.mean(hits) >= 0.9
 
 
+def brute_nearest(ids, x, query, k=20):
+    """The first ``k`` ids by inner product, each with the best of its rows."""
+    best = {}
+    for v, s in zip(ids.tolist(), x @ x[query]):
+        if v != ids[query]:
+            best[v] = max(s, best.get(v, -math.inf))
+    return sorted(best, key=lambda v: (-best[v], v))[:k]
+
+
+def recall_of(spark, ids, x, every=20, k=20):
+    """Recall of each query's neighbours, of which there must be ``k`` or all there are."""
+    rows = spark.createDataFrame(list(zip(ids.tolist(), x.tolist())), "vec_id bigint, embedding array<double>")
+    found = defaultdict(list)
+    for r in nearest.nearest(rows, F.col("vec_id") % every == 0, k).collect():
+        found[r.query_id].append(r.vec_id)
+    hits = []
+    for i in np.unique(ids, return_index=True)[1]:
+        if ids[i] % every == 0:
+            want, got = brute_nearest(ids, x, i, k), found[ids[i]]
+            assert len(set(got)) == len(got) == len(want), (ids[i], len(got))
+            hits.append(len(set(got) & set(want)) / max(1, len(want)))
+    return np.mean(hits)
+
+
+def test_nearest_in_tight_clusters(spark):
+    chance = np.random.default_rng(3)
+    centres = np.repeat(chance.normal(size=(120, 64)), 40, axis=0)
+    x = centres + 0.002 * chance.normal(size=centres.shape)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert recall_of(spark, np.arange(len(x)), x) >= 0.99
+
+
+def test_nearest_with_repeated_rows(spark):
+    chance = np.random.default_rng(4)
+    x = np.repeat(chance.normal(size=(150, 64)), 32, axis=0) + 0.02 * chance.normal(size=(4800, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.concatenate([np.arange(len(x)), np.repeat(np.arange(1, len(x), 8), 25)])
+    assert recall_of(spark, ids, np.concatenate([x, np.repeat(x[1::8], 25, axis=0)])) >= 0.99
+
+
 def test_packing_matches_the_tokenizer(spark, texts):
     from tokenizers import Tokenizer
 

@@ -16,7 +16,8 @@ about 0.97.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components,
 and those of another length than the most frequent one, take no part. Rows that repeat an
-id count once for a query. Equal scores are ranked by id. Other columns are ignored.
+id count once for a query, with the best of their scores, and a query's own id never, also
+where members are pruned. Equal scores are ranked by id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -164,6 +165,33 @@ def _best(query: np.ndarray, id: np.ndarray, score: np.ndarray, k: int) -> np.nd
     return order[index - np.maximum.accumulate(np.where(first, index, 0)) < k]
 
 
+def _repeated(ids: np.ndarray, vectors: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """True for the second and further rows of the same id, vector and bucket."""
+    again = np.zeros(len(ids), bool)
+    same = np.zeros(len(ids) + 1, bool)
+    same[1:-1] = (ids[1:] == ids[:-1]) & (buckets[1:] == buckets[:-1])
+    some = np.flatnonzero(same[:-1] | same[1:])
+    if len(some):
+        names = np.ascontiguousarray(np.column_stack([vectors[some].view(np.int64), ids[some], buckets[some]]))
+        first = np.unique(names.view(f"V{names.shape[1] * 8}").ravel(), return_index=True)[1]
+        again[some] = True
+        again[some[first]] = False
+    return again
+
+
+def _kth(product: np.ndarray, ids: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray | None:
+    """The ``k``-th best product of every query over distinct ids (adjacent here) other than its own."""
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    names = ids[starts]
+    if len(names) <= k:
+        return None
+    best = product.copy() if len(names) == len(ids) else np.maximum.reduceat(product, starts, axis=1)
+    own = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+    mine = np.flatnonzero(names[own] == asked)
+    best[mine, own[mine]] = -np.inf
+    return -np.partition(-best, k - 1, axis=1)[:, k - 1]
+
+
 def _rank(queries: pa.Table, members: pa.Table, k: int):
     """The ``k`` best members of the visited buckets for every query, ``(query, id, score)``."""
     ids = members.column("id").to_numpy()
@@ -171,6 +199,9 @@ def _rank(queries: pa.Table, members: pa.Table, k: int):
     buckets = members.column("buckets").combine_chunks().flatten().to_numpy()
     order = np.lexsort((ids, buckets))
     ids, vectors, buckets = ids[order], vectors[order], buckets[order]
+    again = _repeated(ids, vectors, buckets)
+    if again.any():
+        ids, vectors, buckets = ids[~again], vectors[~again], buckets[~again]
     names, starts = np.unique(buckets, return_index=True)
     ends = np.append(starts[1:], len(buckets))
     for begin in range(0, queries.num_rows, 1024):
@@ -191,8 +222,8 @@ def _rank(queries: pa.Table, members: pa.Table, k: int):
             low, high, who = starts[spot[a]], ends[spot[a]], owner[a:b]
             for left in range(low, high, 4096):
                 product = q[who] @ vectors[left : min(left + 4096, high)].T
-                if product.shape[1] > k:
-                    kth = -np.partition(-product, k - 1, axis=1)[:, k - 1]
+                kth = _kth(product, ids[left : left + product.shape[1]], asked[who], k)
+                if kth is not None:
                     floor[who] = np.maximum(floor[who], kth)
                 # products of the same pair may differ in the last bits, so ties keep a margin
                 r, c = np.nonzero(product >= floor[who][:, None] - 1e-9 * np.abs(floor[who])[:, None].clip(1, 1e300))
@@ -207,7 +238,12 @@ def _rank(queries: pa.Table, members: pa.Table, k: int):
         )
         other = ids[c] != asked[r]
         r, c, score = r[other], c[other], score[other]
-        top = _best(r, ids[c], score, k) if len(r) else np.zeros(0, int)
+        if not len(r):
+            continue
+        by = np.lexsort((-score, ids[c], r))  # an id counts once, with its best row
+        single = np.concatenate([[True], (r[by][1:] != r[by][:-1]) | (ids[c[by]][1:] != ids[c[by]][:-1])])
+        r, c, score = r[by[single]], c[by[single]], score[by[single]]
+        top = _best(r, ids[c], score, k)
         yield asked[r[top]], ids[c[top]], score[top]
 
 
