@@ -212,6 +212,28 @@ def test_nearest_with_repeated_rows(spark):
     assert recall_of(spark, ids, np.concatenate([x, np.repeat(x[1::8], 25, axis=0)])) >= 0.99
 
 
+def test_nearest_of_few_rows(spark):
+    x = np.random.default_rng(5).normal(size=(12, 64))
+    assert recall_of(spark, np.arange(12), x, every=2) == 1
+
+
+@pytest.mark.parametrize("skew", ["one long", "lognormal"])
+def test_nearest_with_skewed_norms(spark, skew):
+    chance = np.random.default_rng(6)
+    x = chance.normal(size=(12_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= chance.lognormal(size=(len(x), 1)) if skew == "lognormal" else 1
+    x[777] *= 1000
+    assert recall_of(spark, np.arange(len(x)), x, every=100) >= 0.95
+
+
+def test_nearest_completes_short_lists(spark):
+    chance = np.random.default_rng(7)
+    x = np.ones((3_000, 64)) + 0.01 * chance.normal(size=(3_000, 64))
+    x[::100] *= -1  # the queries lie opposite to all but each other
+    assert recall_of(spark, np.arange(len(x)), x, every=100, k=40) >= 0.95
+
+
 def test_packing_matches_the_tokenizer(spark, texts):
     from tokenizers import Tokenizer
 

@@ -1,8 +1,9 @@
 """Nearest vectors by multiprobe p-stable hashing with exact reranking.
 
-Vectors are scaled by the largest norm and get one more component that makes them unit
-vectors; queries are scaled to unit length with 0 there. Euclidean distance then orders
-like the inner product. Each table hashes ``floor((a . x + b) / width)`` for a few normal
+Vectors are parted into ranges of norms, so that a few long ones don't squeeze the others
+together. In each range they are scaled by its largest norm and get one more component that
+makes them unit vectors; queries are scaled to unit length with 0 there. Euclidean distance
+then orders like the inner product. Every query looks into every range. Each table hashes ``floor((a . x + b) / width)`` for a few normal
 vectors ``a``, and the codes together name a bucket. A query visits its own bucket and
 perturbed ones (each code one lower, equal or one higher) in the order of their estimated
 success: the sum of squared distances from the query to the borders that are crossed.
@@ -11,8 +12,9 @@ the best of all tables are merged.
 
 Buckets are dealt out in groups of about ``group_rows`` index rows, and a group that is
 larger, for one hot bucket say, is split by the vectors' ids; queries go to every part, so
-nothing is capped. With the defaults recall on 64 dimensions without much structure is
-about 0.97.
+nothing is capped. Ranges of few rows are not hashed: every query is compared with all of
+them. Queries for which fewer than ``k`` neighbours with a product above 0 were found are
+compared with all rows, in blocks. With the defaults recall on 64 dimensions without much structure is about 0.97.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components,
 and those of another length than the most frequent one, take no part. Rows that repeat an
@@ -38,7 +40,10 @@ from topicloom.runtime import lookup_join
 
 @dataclass(frozen=True)
 class Probing:
-    """``tables`` hash tables of ``codes`` codes each, of which a query visits ``probes`` buckets."""
+    """``tables`` hash tables of ``codes`` codes each, of which a query visits ``probes`` buckets.
+
+    Norms of a range differ by a factor of up to 2 ** (``span`` / 8). Ranges of at most
+    ``exact_rows`` rows are compared with all queries, ``asked`` of these in a task."""
 
     tables: int = 8
     codes: int = 6
@@ -46,6 +51,19 @@ class Probing:
     probes: int = 120
     group_rows: int = 65_536
     seed: int = 5
+    span: int = 4
+    exact_rows: int = 2048
+    asked: int = 2048
+
+
+@dataclass(frozen=True)
+class _Range:
+    """Vectors whose norm is at least ``low``, dealt out in ``groups``, or in none if they are
+    to be compared with every query."""
+
+    low: float
+    longest: float
+    groups: int
 
 
 def usable(vectors: DataFrame, vector: str = "embedding", id: str = "vec_id") -> DataFrame:
@@ -67,9 +85,9 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 class _Tables:
     """The hash functions, drawn from the seed alone, so that every task has the same."""
 
-    def __init__(self, how: Probing, dims: int, groups: int):
+    def __init__(self, how: Probing, dims: int):
         chance = np.random.default_rng(how.seed)
-        self.how, self.groups = how, groups
+        self.how = how
         self.a = chance.normal(size=(how.tables, dims + 1, how.codes))
         self.b = chance.uniform(0, how.width, size=(how.tables, how.codes))
         self.steps = np.array(list(itertools.product((-1, 0, 1), repeat=how.codes)))
@@ -81,8 +99,8 @@ class _Tables:
     def buckets(self, codes: np.ndarray) -> np.ndarray:
         return mixed((codes.astype(np.int64).view(np.uint64) * self.weights).sum(axis=-1, dtype=np.uint64)).view(np.int64)
 
-    def group(self, buckets: np.ndarray) -> np.ndarray:
-        return ((buckets.view(np.uint64) >> np.uint64(8)) % np.uint64(self.groups)).astype(np.int32)
+    def group(self, buckets: np.ndarray, groups: int) -> np.ndarray:
+        return ((buckets.view(np.uint64) >> np.uint64(8)) % np.uint64(groups)).astype(np.int32)
 
 
 _KEYS = ["t", "g", "part"]
@@ -101,8 +119,38 @@ def _batch(t: int, g, side: int, ids, vectors: np.ndarray, buckets: list) -> pa.
     )
 
 
-def _indexed(rows: DataFrame, how: Probing, longest: float, groups: int) -> DataFrame:
-    """A row of every vector for each table, with its bucket."""
+#: Table number and bucket of what is compared with every query.
+_EXACT, _ALL = -1, 0
+
+
+def _ranges(rows: DataFrame, how: Probing) -> list[_Range]:
+    """Ranges of norms from the lowest, each starting at the longest vector that is left."""
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+    # norms beyond what doubles can hold, on either side, have bins of their own
+    bin = F.least(F.greatest(F.floor(F.coalesce(F.log2("norm"), F.lit(-1125.0)) * 8), F.lit(-9000)), F.lit(9000))
+    counted = rows.select(norm.alias("norm")).groupBy(bin.cast("int").alias("bin")).agg(
+        F.max("norm").alias("longest"), F.count(F.lit(1)).alias("n")
+    )
+    found = []
+    for r in counted.orderBy(F.desc("bin")).collect():  # bins are eighths of an octave
+        if found and found[-1][0] - r["bin"] < how.span:
+            found[-1][1:] = [r["bin"], found[-1][2], found[-1][3] + r["n"]]
+        else:
+            found.append([r["bin"], r["bin"], r["longest"], r["n"]])
+    return [
+        _Range(
+            float(np.exp2(low / 8)),
+            longest * (1 + 1e-12),
+            -(-n // how.group_rows) if n > how.exact_rows and 0 < longest < float("inf") else 0,
+        )
+        for _, low, longest, n in reversed(found)
+    ]
+
+
+def _indexed(rows: DataFrame, how: Probing, ranges: list[_Range], chunks: int) -> DataFrame:
+    """A row of every vector for each table of its range, with its bucket, or one for each
+    chunk of queries that all are compared with it."""
+    lows, hashed = np.array([r.low for r in ranges]), np.array([r.groups > 0 for r in ranges], bool)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,17 +158,26 @@ def _indexed(rows: DataFrame, how: Probing, longest: float, groups: int) -> Data
                 continue
             x = _matrix(batch)
             ids = batch.column(batch.schema.get_field_index("id")).to_numpy()
-            tables, unit = _Tables(how, x.shape[1], groups), x / longest
-            unit = np.hstack([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))[:, None]])
-            for t in range(how.tables):
-                found = tables.buckets(np.floor(tables.places(unit, t)))
-                yield _batch(t, tables.group(found), 0, ids, x, found[:, None].tolist())
+            own = np.maximum(np.searchsorted(lows, np.sqrt((x * x).sum(axis=1)), side="right") - 1, 0)
+            exact = np.flatnonzero(~hashed[own])
+            for c in range(chunks if len(exact) else 0):
+                yield _batch(_EXACT, np.full(len(exact), c, np.int32), 0, ids[exact], x[exact], [[_ALL]] * len(exact))
+            tables = _Tables(how, x.shape[1])
+            for n in np.unique(own[hashed[own]]).tolist():
+                at = np.flatnonzero(own == n)
+                unit = x[at] / ranges[n].longest
+                unit = np.hstack([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))[:, None]])
+                for t in range(how.tables):
+                    found = tables.buckets(np.floor(tables.places(unit, t)))
+                    group = tables.group(found, ranges[n].groups)
+                    yield _batch(n * how.tables + t, group, 0, ids[at], x[at], found[:, None].tolist())
 
     return rows.mapInArrow(place, _SCHEMA)
 
 
-def _probed(rows: DataFrame, how: Probing, groups: int) -> DataFrame:
+def _probed(rows: DataFrame, how: Probing, ranges: list[_Range], chunks: int) -> DataFrame:
     """A row of every query for each table and group of buckets, with the buckets to visit there."""
+    hashed = [(n, r.groups) for n, r in enumerate(ranges) if r.groups]
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +185,12 @@ def _probed(rows: DataFrame, how: Probing, groups: int) -> DataFrame:
                 continue
             x = _matrix(batch)
             ids = batch.column(batch.schema.get_field_index("id")).to_numpy()
-            tables = _Tables(how, x.shape[1], groups)
+            if len(hashed) < len(ranges):
+                chunk = (mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(chunks)).astype(np.int32)
+                yield _batch(_EXACT, chunk, 1, ids, x, [[_ALL]] * len(ids))
+            if not hashed:
+                continue
+            tables = _Tables(how, x.shape[1])
             unit = np.hstack([x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros((len(x), 1))])
             for t in range(how.tables):
                 places = tables.places(unit, t)
@@ -139,9 +201,12 @@ def _probed(rows: DataFrame, how: Probing, groups: int) -> DataFrame:
                     total = cost[i][np.arange(how.codes), tables.steps + 1].sum(axis=1)
                     best = np.argsort(total, kind="stable")[: how.probes]
                     found = tables.buckets(codes[i] + tables.steps[best])
-                    group = tables.group(found)
-                    for g in np.unique(group):
-                        yield _batch(t, np.array([g], np.int32), 1, ids[i : i + 1], x[i : i + 1], [found[group == g].tolist()])
+                    for n, groups in hashed:
+                        group = tables.group(found, groups)
+                        for g in np.unique(group):
+                            yield _batch(
+                                n * how.tables + t, np.array([g], np.int32), 1, ids[i : i + 1], x[i : i + 1], [found[group == g].tolist()]
+                            )
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = []
@@ -247,22 +312,16 @@ def _rank(queries: pa.Table, members: pa.Table, k: int):
         yield asked[r[top]], ids[c[top]], score[top]
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, how: Probing = Probing()) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the ``k`` best found for the rows of ``is_query``.
-
-    ``vectors`` is ``(vec_id, embedding)``; ``is_query`` looks at these columns.
-    """
-    rows = usable(vectors)
-    squares = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    facts = rows.agg(F.max(F.sqrt(squares)).alias("longest"), F.count(F.lit(1)).alias("n")).first()
-    longest, groups = float(facts["longest"] or 1.0) * (1 + 1e-12), max(1, -(-facts["n"] // how.group_rows))
-    index = _indexed(rows, how, longest, groups)
+def _searched(rows: DataFrame, asking: DataFrame, ranges: list[_Range], k: int, how: Probing) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the best of ``rows`` in what ``asking`` visits."""
+    exact = any(not r.groups for r in ranges)
+    chunks = max(1, -(-asking.count() // how.asked)) if exact else 1
+    index = _indexed(rows, how, ranges, chunks)
     parts = stored(
         index.groupBy("t", "g").agg(F.ceil(F.count(F.lit(1)) / (2.0 * how.group_rows)).cast("int").alias("parts")), "index_groups"
     )
     members = lookup_join(index, parts, ["t", "g"], "inner").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    asking = _probed(usable(vectors.where(is_query)), how, groups)
-    queries = lookup_join(asking, parts, ["t", "g"], "inner").withColumn(
+    queries = lookup_join(_probed(asking, how, ranges, chunks), parts, ["t", "g"], "inner").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
 
@@ -283,3 +342,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, how: Probing = Pr
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, how: Probing = Probing()) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the ``k`` best found for the rows of ``is_query``.
+
+    ``vectors`` is ``(vec_id, embedding)``; ``is_query`` looks at these columns.
+    """
+    rows, asking = usable(vectors), usable(vectors.where(is_query))
+    ranges = _ranges(rows, how)
+    found = _searched(rows, asking, ranges, k, how)
+    if not any(r.groups for r in ranges):
+        return found  # everything was compared
+    found = stored(found, "nearest_found")
+    # buckets serve neighbours nearer than a right angle; lists that reach beyond it are not trusted
+    done = found.where((F.col("rank") == k) & (F.col("score") > 0)).select(F.col("query_id").alias("id"))
+    short = stored(asking.join(done, "id", "left_anti"), "short_queries")
+    if short.isEmpty():
+        return found
+    whole = _searched(rows, short, [_Range(0.0, 1.0, 0)], k, how)
+    return found.join(done.withColumnRenamed("id", "query_id"), "query_id", "left_semi").unionByName(whole)
