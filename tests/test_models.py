@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
@@ -205,3 +206,21 @@ def test_embeddings(spark, planted):
 
     texts = planted.docs.select("id", F.array_join("tokens", " ").alias("text"))
     assert cl.embed(texts, encoder=encoder).first()["embedding"][0] > 100
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 400_000])
+def test_density_topics_do_not_depend_on_the_number_of_documents(spark, n):
+    """Four planted groups and a tenth of noise in 5 dimensions, with the defaults."""
+    chance, noise = np.random.default_rng(1), n // 10
+    centres = np.array([[8.0 if i >> j % 2 & 1 else -8.0 for j in range(5)] for i in range(4)])
+    group = np.concatenate([np.arange(n - noise) % 4, np.full(noise, -1)])
+    x = np.where(group[:, None] >= 0, centres[group] + chance.normal(size=(n, 5)), chance.uniform(-14, 14, size=(n, 5)))
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 5 * n + 1, 5, dtype=np.int32)), pa.array(x.ravel()))
+    coords = spark.createDataFrame(pa.table({"id": np.arange(n), "coords": lists})).repartition(8)
+    rows = cl.density_topics(coords, dims=5).toPandas()
+    topic = rows.sort_values("id")["topic"].to_numpy()
+    assert set(topic) == {-1, 0, 1, 2, 3}
+    main = [np.bincount(topic[group == g] + 1).argmax() - 1 for g in range(4)]
+    assert sorted(main) == [0, 1, 2, 3]
+    assert all(np.mean(topic[group == g] == main[g]) >= 0.98 for g in range(4))
+    assert np.mean(topic[group == -1] == -1) >= 0.75

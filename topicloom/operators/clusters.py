@@ -27,6 +27,9 @@ from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join
 #: Rounds of merging labels before the result is written out again.
 ROUNDS_PER_CUT = 3
 
+#: Part of the count at the peak of one normal distribution from which a neighbourhood is dense.
+DENSE_SHARE = 0.25
+
 #: Topics whose centroids are sent to the tasks for dense document weights.
 MAX_CENTRES = 20_000
 
@@ -124,12 +127,17 @@ def reduce_dimensions(embeddings: DataFrame, k: int = 5) -> DataFrame:
 # -- density clusters --------------------------------------------------------------
 
 
-def bandwidth(coords: DataFrame, dims: int) -> list[float]:
-    """Cell widths by Scott's rule: spread of each dimension times n ** (-1 / (d + 4))."""
+def bandwidth(coords: DataFrame, dims: int) -> tuple[list[float], float]:
+    """Cell widths by Scott's rule, spread of each dimension times n ** (-1 / (d + 4)), and the
+    documents that a neighbourhood of 3 cells a dimension would hold at the peak of one normal
+    distribution of these spreads."""
     spread = [F.stddev_pop(F.get("coords", F.lit(i))).alias(f"s{i}") for i in range(dims)]
     row = coords.agg(F.count(F.lit(1)).alias("n"), *spread).first()
     shrink = max(1, row["n"]) ** (-1.0 / (dims + 4))
-    return [float(row[f"s{i}"] or 0.0) * shrink or 1.0 for i in range(dims)]
+    spreads = [float(row[f"s{i}"] or 0.0) for i in range(dims)]
+    # a dimension without spread lies in one cell
+    share = min(1.0, 3 * shrink / np.sqrt(2 * np.pi)) ** sum(s > 0 for s in spreads)
+    return [s * shrink or 1.0 for s in spreads], row["n"] * share
 
 
 def _key(parts: Sequence[Column]) -> Column:
@@ -226,11 +234,17 @@ def density_topics(
 
     Topics with fewer than ``min_topic_size`` documents become outliers. ``dims`` is the
     number of coordinates, read from the data when neither it nor ``widths`` is given.
+
+    With given ``widths`` a neighbourhood is dense from ``min_points`` documents on. Widths
+    from the data get narrower as documents increase, but a neighbourhood holds more of them,
+    so it then also needs ``DENSE_SHARE`` of what the peak of one normal distribution would
+    give it: the same density at every number of documents.
     """
     if widths is None:
         if dims is None:
             dims = coords.select(F.max(F.size("coords"))).first()[0]
-        widths = bandwidth(coords, dims)
+        widths, expected = bandwidth(coords, dims)
+        min_points = max(min_points, int(np.ceil(DENSE_SHARE * expected)))
     dims = len(widths)
     placed = assign_cells(coords, widths).select("id", "cell", "cell_key")
     counted = placed.groupBy("cell_key").agg(F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"))
