@@ -5,9 +5,23 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicloom.llm import factorisation, katz, licences, near_duplicates, nearest, packing, piece_encoding, quality_rules, toxicity, url_trust
+from topicloom.llm import (
+    bisector_clusters,
+    factorisation,
+    katz,
+    licences,
+    near_duplicates,
+    nearest,
+    packing,
+    piece_encoding,
+    quality_rules,
+    segment_simhash,
+    spelling_variants,
+    toxicity,
+    url_trust,
+)
 from topicloom.llm.common import fold, table
-from topicloom.llm.sql import QUALITY_RULES_SQL
+from topicloom.llm.sql import BISECTOR_CLUSTERS_SQL, QUALITY_RULES_SQL
 
 BYTE_BPE = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -95,6 +109,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_segment_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bisector_clusters.clustered(table(spark, sf_dir, "embeddings"))
+    return rows.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        bisector_clusters.centroid_name().alias("centroid_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +142,9 @@ QUERIES = {
         op8_licences,
         op9_toxicity,
         op10_packing,
+        op11_segment_simhash,
+        op12_spelling_variants,
+        op13_bisector_clusters,
     )
 }
-ORACLES = {"op7_quality_rules": QUALITY_RULES_SQL}
+ORACLES = {"op7_quality_rules": QUALITY_RULES_SQL, "op13_bisector_clusters": BISECTOR_CLUSTERS_SQL}

@@ -1,5 +1,6 @@
 """SQL twins of the operators that SQL can express."""
 
+from topicloom.llm.bisector_clusters import BisectorClusters
 from topicloom.llm.quality_rules import RULES, RiskControl
 
 _GAP = "[\\x20\\x09-\\x0D]+"
@@ -67,3 +68,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND NOT ({_FAILED})) AS kept
 FROM s
 """
+
+_CLUSTERS = BisectorClusters()
+_APART = "list_sum(list_transform(list_zip(v.x, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _rounds() -> str:
+    out = []
+    for i in range(_CLUSTERS.rounds + 1):
+        out.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT best.* FROM (
+    SELECT v.row, any_value(v.vec_id) AS vec_id, min({{'d': {_APART}, 'k': c.k}}) AS best
+    FROM vectors v CROSS JOIN c{i} c GROUP BY v.row) AS best)""")
+        if i < _CLUSTERS.rounds:
+            out.append(f"""
+s{i} AS (
+  SELECT k, pos, sum(y)::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM (SELECT a.best.k AS k, unnest(v.x) AS y, unnest(range({_CLUSTERS.dims})) AS pos FROM a{i} a JOIN vectors v USING (row))
+  GROUP BY ALL),
+m{i} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS c FROM s{i} GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN m{i} m USING (k))""")
+    return ",".join(out)
+
+
+BISECTOR_CLUSTERS_SQL = f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda y: CAST(floor({_CLUSTERS.scale} * CAST(y AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {_CLUSTERS.dims}
+    AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = {_CLUSTERS.dims}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{_CLUSTERS.seed}:' || vec_id)) - 1 AS k, x AS c
+  FROM vectors WHERE vec_id IS NOT NULL ORDER BY k LIMIT {_CLUSTERS.k}),{_rounds()}
+SELECT a.vec_id, CAST(a.best.k AS INTEGER) AS cluster, CAST(a.best.d AS BIGINT) AS distance,
+       CAST(sum(a.best.d) OVER (PARTITION BY a.best.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{_CLUSTERS.rounds} a JOIN c{_CLUSTERS.rounds} c ON c.k = a.best.k
+"""
