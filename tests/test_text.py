@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from topicloom.functions import text
@@ -126,3 +127,33 @@ def test_nouns_that_only_look_plural(spark):
     from topicloom.functions.text import lemmatize
 
     assert rows.select(lemmatize("tokens")).first()[0] == list(want.values())
+
+
+def test_the_noun_rule_on_words_it_has_no_entry_for(spark):
+    want = {
+        "viruses": "virus", "statuses": "status", "choruses": "chorus", "causes": "cause", "houses": "house", "excuses": "excuse",
+        "thermodynamics": "thermodynamics", "biophysics": "biophysics", "proteomics": "proteomics", "biostatistics": "biostatistics",
+        "whereas": "whereas", "always": "always", "perhaps": "perhaps", "pancreas": "pancreas", "ideas": "idea", "areas": "area",
+        "videos": "video", "topics": "topic", "metrics": "metric", "boxes": "box",
+    }
+    rows = spark.createDataFrame([(list(want),)], "tokens array<string>")
+    from topicloom.functions.text import lemmatize
+
+    assert rows.select(lemmatize("tokens")).first()[0] == list(want.values())
+
+
+@pytest.mark.parametrize("bound", [100, 0])
+def test_lemma_table_keeps_rows_of_any_id(spark, bound):
+    rows = [(1, ["cats", "dogs"], "x"), (1, ["dogs"], "y"), (None, ["cats"], "z"), (2, None, ""), (3, [], ""), (4, ["a", None, "cats"], "")]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, lemma string").repartition(3)
+    table = spark.createDataFrame([("cats", "cat"), ("cats", "cut"), ("dogs", "dog"), (None, "x")], "token string, lemma string")
+    got = sorted(map(repr, (tuple(r) for r in lemmatize_with(df, table, broadcast_rows=bound).collect())))
+    want = [(1, ["cat", "dog"], "x"), (1, ["dog"], "y"), (None, ["cat"], "z"), (2, None, ""), (3, [], ""), (4, ["a", None, "cat"], "")]
+    assert got == sorted(map(repr, want))
+    assert lemmatize_with(df.limit(0), table, broadcast_rows=bound).count() == 0
+
+
+def test_lemma_table_moves_no_text(spark):
+    df = spark.createDataFrame([(1, ["cats"])], "id long, tokens array<string>")
+    table = spark.createDataFrame([("cats", "cat")], "token string, lemma string")
+    assert "Exchange" not in lemmatize_with(df, table)._jdf.queryExecution().executedPlan().toString()

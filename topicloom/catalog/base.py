@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from topicloom.functions.text import CONTRACTIONS, stopword_list
-from topicloom.functions.words import IRREGULAR_PLURALS
+from topicloom.functions.words import IRREGULAR_PLURALS, NO_PLURALS, SCIENCE_ENDINGS
 from topicloom.operators import features as fe
 from topicloom.operators.normalise import preprocess_abstracts
 from topicloom.runtime import cut_lineage
@@ -112,12 +112,34 @@ def source_words(spark: SparkSession, sf: str, n: int = 20) -> DataFrame:
     return ranked.join(F.broadcast(topics), "primary_category").select("topic_id", "rank", "word", "weight")
 
 
-def embedding_coords(spark: SparkSession, sf: str, dims: int = 3) -> DataFrame:
-    """``(id, coords)``: the first dimensions of the supplied vectors."""
+VECTOR_DIMS = 64
+
+
+def embedding_coords(spark: SparkSession, sf: str) -> DataFrame:
+    """``(id, coords)``: the supplied vectors."""
     vectors = table(spark, sf, "embeddings")
-    return vectors.select(
-        F.col("vec_id").alias("id"), F.slice("embedding", 1, dims).cast("array<double>").alias("coords")
-    )
+    return vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("coords"))
+
+
+def slot_terms(slot: int, slots: int) -> list[tuple[int, str]]:
+    """Positions and signs of what is summed in a slot: all positions are dealt out in turn,
+    and every second one of a slot counts negative."""
+    return [(i, "+-"[i // slots % 2]) for i in range(slot, VECTOR_DIMS, slots)]
+
+
+def projected_coords(spark: SparkSession, sf: str, slots: int = 3) -> DataFrame:
+    """``(id, coords)``: the supplied vectors, all of their dimensions summed into few slots."""
+    x = F.transform("embedding", lambda c: c.cast("double"))
+    sums = [
+        reduce(lambda s, t: s + F.get("x", F.lit(t[0])) if t[1] == "+" else s - F.get("x", F.lit(t[0])), slot_terms(j, slots), F.lit(0.0))
+        for j in range(slots)
+    ]
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), x.alias("x"))
+    return vectors.select("id", F.array(*sums).alias("coords"))
+
+
+def projected_sql(slot: int, slots: int = 3) -> str:
+    return "0.0::DOUBLE" + "".join(f" {sign} CAST(embedding[{i + 1}] AS DOUBLE)" for i, sign in slot_terms(slot, slots))
 
 
 class Fitted:
@@ -170,11 +192,14 @@ def split_sql(text: str) -> str:
 
 def lemma_sql(t: str = "t") -> str:
     irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in IRREGULAR_PLURALS.items())
+    science = " OR ".join(f"{t} LIKE '%{e}'" for e in SCIENCE_ENDINGS)
+    singular = ", ".join(f"'{w}'" for w in NO_PLURALS)
     return f"""CASE {t} {irregular} ELSE CASE
-  WHEN {t} NOT LIKE '%s' OR length({t}) <= 3 THEN {t}
+  WHEN {t} NOT LIKE '%s' OR length({t}) <= 3 OR {science} OR {t} IN ({singular}) THEN {t}
   WHEN {t} LIKE '%ss' OR {t} LIKE '%us' OR {t} LIKE '%is' THEN {t}
   WHEN {t} LIKE '%ies' AND length({t}) > 4 THEN {t}[:-4] || 'y'
-  WHEN {t} LIKE '%ches' OR {t} LIKE '%shes' OR {t} LIKE '%xes' OR {t} LIKE '%zes' OR {t} LIKE '%sses' THEN {t}[:-3]
+  WHEN {t} LIKE '%ches' OR {t} LIKE '%shes' OR {t} LIKE '%xes' OR {t} LIKE '%zes' OR {t} LIKE '%sses'
+    OR (length({t}) >= 7 AND regexp_matches({t}, '[ehiknprst]uses$')) THEN {t}[:-3]
   ELSE {t}[:-2] END END"""
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicloom.catalog.base import (
-    Fitted, cluster_topics, embedding_coords, features_sql, papers, processed, query, rounded, source_words, table, tokens_sql,
+    Fitted, cluster_topics, embedding_coords, features_sql, papers, processed,
+    projected_coords, projected_sql, query, rounded, source_words, table, tokens_sql,
     union_all, with_sql,
 )
 from topicloom.catalog.report_queries import source_words_sql
@@ -190,7 +191,7 @@ def nmf_fit(spark, sf):
 def nmf_collapse_guard(spark, sf):
     """A penalty that empties H leads to a second fit without penalties."""
     with Fitted(spark, sf) as f:
-        strong = dict(alpha=0.1, scale_penalty=True, max_iter=4)
+        strong = dict(alpha=0.1, scale_penalty=True)
         first = nmf.fit_many(f.rows, len(f.lexicon), [4], **strong)[4]
         final = nmf.fit_nmf(f.rows, len(f.lexicon), 4, **strong)
         return spark.createDataFrame([(float(first.h.max()), float(final.h.max()))], "first_max double, final_max double")
@@ -212,7 +213,7 @@ def nmf_error(spark, sf):
 def nmf_sweep(spark, sf):
     """All topic counts of the default range, fitted in the same passes."""
     with Fitted(spark, sf) as f:
-        return nmf.sweep(f.rows, len(f.lexicon), TopicConfig().nmf_topics, max_iter=15)[0]
+        return nmf.sweep(f.rows, len(f.lexicon), TopicConfig().nmf_topics)[0]
 
 
 @query("m12_nmf_topic_words", with_sql(
@@ -238,7 +239,7 @@ def nmf_document_topics(spark, sf):
 @query("m13_nmf_fitted_topics")
 def nmf_fitted_topics(spark, sf):
     with Fitted(spark, sf) as f:
-        return nmf.document_topics(f.rows, nmf.fit_nmf(f.rows, len(f.lexicon), 5, max_iter=15))
+        return nmf.document_topics(f.rows, nmf.fit_nmf(f.rows, len(f.lexicon), 5))
 
 
 @query("m14_nmf_tables")
@@ -287,13 +288,13 @@ def reduce_dimensions(spark, sf):
 
 
 #: Grid of the density query: wide cells, since the vectors have no structure.
-WIDTH = 0.08
+WIDTH = 0.2
 MIN_POINTS = 12
 MIN_SIZE = 10
 
 
 def _density_sql(dims: int = 3) -> str:
-    cell = ", ".join(f"CAST(floor(CAST(embedding[{i + 1}] AS DOUBLE) / CAST({WIDTH} AS DOUBLE)) AS BIGINT) AS x{i}" for i in range(dims))
+    cell = ", ".join(f"CAST(floor(({projected_sql(i, dims)}) / CAST({WIDTH} AS DOUBLE)) AS BIGINT) AS x{i}" for i in range(dims))
     xs = ", ".join(f"x{i}" for i in range(dims))
     near = " AND ".join(f"abs(a.x{i} - b.x{i}) <= 1" for i in range(dims))
     key = " || ':' || ".join(f"x{i}" for i in range(dims))
@@ -313,7 +314,7 @@ assigned AS (SELECT p.id, coalesce(num.topic, -1) AS topic FROM pts p LEFT JOIN
 
 
 def _density(spark, sf):
-    return cl.density_topics(embedding_coords(spark, sf), MIN_POINTS, MIN_SIZE, widths=[WIDTH] * 3)
+    return cl.density_topics(projected_coords(spark, sf), MIN_POINTS, MIN_SIZE, widths=[WIDTH] * 3)
 
 
 @query("m17_density_topics", _density_sql() + "SELECT id, topic FROM assigned")
@@ -331,7 +332,7 @@ def density_reduced(spark, sf):
 
 @query("m17_fixed_topics")
 def fixed_k_topics(spark, sf):
-    return cl.fixed_topics(embedding_coords(spark, sf, 64), 5)
+    return cl.fixed_topics(embedding_coords(spark, sf), 5)
 
 
 def _merge_sql(k: int, start: int = 5) -> str:
@@ -400,7 +401,7 @@ close AS (SELECT id, cen.topic AS topic_id, 1 / (1 + sqrt(sum((v - m) ** 2))) AS
 @query("m20_soft_topics", with_sql(_SOFT, select="SELECT id, topic_id, round(s / sum(s) OVER (PARTITION BY id), 6) AS weight FROM close"))
 def soft_topics(spark, sf):
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 4).cast("int").alias("topic"))
-    found = cl.document_topics(embedding_coords(spark, sf, 64), labels, 64)
+    found = cl.document_topics(embedding_coords(spark, sf), labels, 64)
     return rounded(found.select("id", F.posexplode("topic_dist").alias("topic_id", "weight")), "weight")
 
 

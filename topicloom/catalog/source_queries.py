@@ -66,17 +66,16 @@ def nmf_model(spark, sf):
     """Topic words of a factorisation that was saved and loaded."""
     with Fitted(spark, sf) as f:
         path = shared_path(spark, "nmf")
-        mo.save_nmf(spark, nmf.fit_nmf(f.rows, len(f.lexicon), 5, max_iter=10), f.lexicon, path)
+        mo.save_nmf(spark, nmf.fit_nmf(f.rows, len(f.lexicon), 5), f.lexicon, path)
         return nmf.topic_words(spark, mo.load_nmf(spark, path, f.lexicon), f.lexicon)
 
 
-@query("s06_cluster_model", """SELECT topic, round(c1, 6) AS c1, round(c2, 6) AS c2, round(c3, 6) AS c3 FROM (
-SELECT CAST(label % 4 AS INTEGER) AS topic, avg(CAST(embedding[1] AS DOUBLE)) AS c1, avg(CAST(embedding[2] AS DOUBLE)) AS c2,
-  avg(CAST(embedding[3] AS DOUBLE)) AS c3 FROM embeddings GROUP BY 1)""")
+@query("s06_cluster_model", """SELECT topic, CAST(pos AS INTEGER) AS pos, round(avg(x), 6) AS mean FROM (
+SELECT CAST(label % 4 AS INTEGER) AS topic, unnest(range(0, 64)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY ALL""")
 def cluster_model(spark, sf):
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 4).cast("int").alias("topic"))
-    found = mo.save_clusters(cl.centroids(embedding_coords(spark, sf), labels, 3), shared_path(spark, "centroids"))
-    return rounded(found.select("topic", *[F.col("centroid")[i].alias(f"c{i + 1}") for i in range(3)]), "c1", "c2", "c3")
+    found = mo.save_clusters(cl.centroids(embedding_coords(spark, sf), labels, 64), shared_path(spark, "centroids"))
+    return rounded(found.select("topic", F.posexplode("centroid").alias("pos", "mean")), "mean")
 
 
 @query("s07_wide_document_topics", with_sql(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from topicloom.functions.arrays import let
-from topicloom.functions.words import ENGLISH_STOPWORDS, DOMAIN_STOPWORDS, IRREGULAR_PLURALS
+from topicloom.functions.words import DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, IRREGULAR_PLURALS, NO_PLURALS, SCIENCE_ENDINGS
 
 # The patterns decide which characters survive, so they must not change.
 URL_PATTERN = r"http\S+|www\S+|https\S+"
@@ -95,19 +95,22 @@ def tokenize(c: Column | str) -> Column:
 def noun_lemma(token: Column) -> Column:
     """Singular of an English noun by irregular forms and suffix rules.
 
-    The rules see no dictionary, so a lemma table (see ``operators.lemmas``) is better
-    where one is at hand.
+    The rules see no dictionary, so a lemma table (see ``operators.normalise``) is better
+    where one is at hand. Words in -uses are plurals of -us after most consonants (viruses), of
+    -use otherwise (causes).
     """
+    science = reduce(lambda a, b: a | b, [token.endswith(e) for e in SCIENCE_ENDINGS])
+    of_us = token.endswith("uses") & (F.length(token) >= 7) & token.substr(F.length(token) - 4, F.lit(1)).isin(*"ehiknprst")
     irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR_PLURALS.items() for x in pair])
     return (
         F.when(~token.endswith("s"), F.when(token.isin(list(IRREGULAR_PLURALS)), irregular[token]).otherwise(token))
         .when(token.isin([w for w in IRREGULAR_PLURALS if w.endswith("s")]), irregular[token])
-        .when(F.length(token) <= 3, token)
+        .when((F.length(token) <= 3) | science | token.isin(list(NO_PLURALS)), token)
         .when(token.endswith("ss") | token.endswith("us") | token.endswith("is"), token)
         .when(token.endswith("ies") & (F.length(token) > 4), F.concat(token.substr(F.lit(1), F.length(token) - 3), F.lit("y")))
         .when(
             token.endswith("ches") | token.endswith("shes") | token.endswith("xes")
-            | token.endswith("zes") | token.endswith("sses"),
+            | token.endswith("zes") | token.endswith("sses") | of_us,
             token.substr(F.lit(1), F.length(token) - 2),
         )
         .otherwise(token.substr(F.lit(1), F.length(token) - 1))

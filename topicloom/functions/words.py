@@ -28,6 +28,18 @@ DOMAIN_STOPWORDS = tuple(
     """.split()
 )
 
+# Words in s that are no plurals, which no ending tells apart.
+NO_PLURALS = tuple(
+    """
+    always perhaps whereas besides sometimes towards afterwards backwards upwards thus hence
+    across unless plus versus alas pancreas atlas alias bias canvas gas texas christmas chaos
+    cosmos ethos pathos asbestos kudos news series species lens headquarters
+    """.split()
+)
+
+# Endings of sciences, which are singular.
+SCIENCE_ENDINGS = ("dynamics", "matics", "physics", "nomics", "omics", "istics", "onics", "botics")
+
 # Plurals that the suffix rules get wrong.
 IRREGULAR_PLURALS = {
     "alias": "alias",

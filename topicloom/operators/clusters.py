@@ -2,9 +2,10 @@
 
 Density clustering works on grid cells instead of document pairs. The reduced vectors
 are cut into cells and counted, which folds any number of equal or close documents into
-one row; a cell is dense when it and its neighbour cells hold enough documents, touching
-dense cells form a topic, and the rest is outliers (-1). The cost follows the number of
-occupied cells, however unevenly the documents fall into them.
+one row. With given cell widths a cell is dense when it and its neighbour cells hold enough
+documents, touching dense cells form a topic, and the rest is outliers (-1); without them
+topics are the branches of a density tree. The cost follows the number of occupied cells,
+however unevenly the documents fall into them.
 """
 
 from __future__ import annotations
@@ -20,16 +21,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from topicloom.operators import topics
+from topicloom.operators import density, topics
 from topicloom.operators.features import Lexicon, sparse_rows
 from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join, spread_rows
 
 #: Rounds of merging labels before the result is written out again.
 ROUNDS_PER_CUT = 3
 
-#: Part of the count at the peak of one normal distribution from which a neighbourhood is dense.
-DENSE_SHARE = 0.25
-
 #: Topics whose centroids are sent to the tasks for dense document weights.
 MAX_CENTRES = 20_000
 
@@ -127,19 +125,6 @@ def reduce_dimensions(embeddings: DataFrame, k: int = 5) -> DataFrame:
 # -- density clusters --------------------------------------------------------------
 
 
-def bandwidth(coords: DataFrame, dims: int) -> tuple[list[float], float]:
-    """Cell widths by Scott's rule, spread of each dimension times n ** (-1 / (d + 4)), and the
-    documents that a neighbourhood of 3 cells a dimension would hold at the peak of one normal
-    distribution of these spreads."""
-    spread = [F.stddev_pop(F.get("coords", F.lit(i))).alias(f"s{i}") for i in range(dims)]
-    row = coords.agg(F.count(F.lit(1)).alias("n"), *spread).first()
-    shrink = max(1, row["n"]) ** (-1.0 / (dims + 4))
-    spreads = [float(row[f"s{i}"] or 0.0) for i in range(dims)]
-    # a dimension without spread lies in one cell
-    share = min(1.0, 3 * shrink / np.sqrt(2 * np.pi)) ** sum(s > 0 for s in spreads)
-    return [s * shrink or 1.0 for s in spreads], row["n"] * share
-
-
 def _key(parts: Sequence[Column]) -> Column:
     return F.concat_ws(":", *[p.cast("string") for p in parts])
 
@@ -232,19 +217,18 @@ def density_topics(
 ) -> DataFrame:
     """``(id, topic)``: topics from 0, largest first; outliers are -1.
 
-    Topics with fewer than ``min_topic_size`` documents become outliers. ``dims`` is the
-    number of coordinates, read from the data when neither it nor ``widths`` is given.
-
-    With given ``widths`` a neighbourhood is dense from ``min_points`` documents on. Widths
-    from the data get narrower as documents increase, but a neighbourhood holds more of them,
-    so it then also needs ``DENSE_SHARE`` of what the peak of one normal distribution would
-    give it: the same density at every number of documents.
+    Topics with fewer than ``min_topic_size`` documents become outliers. Without ``widths``
+    topics are the branches of a density tree (see ``operators.density``), so they may be of
+    any size and density; ``dims`` is the number of coordinates, read from the data when it
+    isn't given. With ``widths`` all cells are of that size, and a neighbourhood is dense from
+    ``min_points`` documents on.
     """
     if widths is None:
-        if dims is None:
-            dims = coords.select(F.max(F.size("coords"))).first()[0]
-        widths, expected = bandwidth(coords, dims)
-        min_points = max(min_points, int(np.ceil(DENSE_SHARE * expected)))
+        marked = cut_lineage(density.tree_topics(coords, min_points, min_topic_size, dims))
+        large = marked.select("label", "size").distinct()
+        numbered = number_rows(large, [F.desc("size"), F.asc("label")], "topic").select("label", "topic")
+        named = lookup_join(marked.select("id", "label"), numbered, "label").select("id", "topic")
+        return coords.select("id").join(named, "id", "left").select("id", F.coalesce("topic", F.lit(-1)).alias("topic"))
     dims = len(widths)
     placed = assign_cells(coords, widths).select("id", "cell", "cell_key")
     counted = placed.groupBy("cell_key").agg(F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"))

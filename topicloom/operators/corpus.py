@@ -20,6 +20,20 @@ def newest_first() -> list[Column]:
     return [F.desc("published"), F.asc("id")]
 
 
+def from_raw(papers: DataFrame) -> DataFrame:
+    """Papers as the operators here expect them, from the table as it is landed.
+
+    Comma-separated ``categories`` become a list (empty where there are none), and a missing
+    ``primary_category`` is the first of them.
+    """
+    out = ensure_categories(papers)
+    if out.schema["categories"].dataType.simpleString() == "string":
+        names = F.transform(F.split(F.coalesce("categories", F.lit("")), ","), F.trim)
+        out = out.withColumn("categories", F.filter(names, lambda c: c != ""))
+    primary = F.nullif(F.trim("primary_category"), F.lit(""))
+    return out.withColumn("primary_category", F.coalesce(primary, F.get("categories", F.lit(0))))
+
+
 def in_category(papers: DataFrame, category: str) -> DataFrame:
     """Papers that list the category anywhere."""
     return papers.where(F.array_contains("categories", category))

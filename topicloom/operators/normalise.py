@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from topicloom.config import TopicConfig
 from topicloom.functions import text
-from topicloom.runtime import BROADCAST_ROWS, lookup_join, spread_rows
+from topicloom.runtime import BROADCAST_ROWS, cut_lineage, salted_join, spread_rows
 
 
 def preprocess_abstracts(
@@ -47,28 +52,53 @@ def removed_counts(df: DataFrame, text_column: str = "abstract", **options) -> D
     return counts.withColumn("n_removed", F.col("n_in") - F.col("n_kept"))
 
 
-def lemmatize_with(
-    df: DataFrame, lemma_table: DataFrame, id_column: str = "id", broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Replace tokens through a ``(token, lemma)`` table; unknown tokens stay.
+def lemmatize_with(df: DataFrame, lemma_table: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Replace ``tokens`` through a ``(token, lemma)`` table; unknown tokens stay.
 
-    The rows are spread by document id before the tokens are exploded. With a lemma table
-    small enough to broadcast, joining and regrouping then need no further shuffle.
+    A table of up to ``broadcast_rows`` rows, as the words of a language make, goes to the tasks
+    as a sorted dictionary, and every batch of texts is looked up at once: one scan, no shuffle,
+    and rows of any id, repeated or null, stay as they are. Beyond that the rows are numbered
+    and written, and tokens are joined and put back by these numbers. Of several lemmas of a
+    token the smallest counts; null tokens and null lists stay.
     """
-    lemmas = lemma_table.select("token", "lemma").dropDuplicates(["token"])
-    spread = df.repartition(id_column)
-    words = spread.select(id_column, F.posexplode("tokens").alias("pos", "token"))
-    replaced = lookup_join(words, lemmas, "token", broadcast_rows=broadcast_rows).select(
-        id_column, F.struct("pos", F.coalesce("lemma", "token").alias("lemma")).alias("word")
-    )
-    regrouped = replaced.groupBy(id_column).agg(F.sort_array(F.collect_list("word")).alias("words"))
-    lists = regrouped.select(id_column, F.transform("words", lambda w: w["lemma"]).alias("_lemmas"))
-    empty = F.array().cast("array<string>")
-    return (
-        spread.join(lists, id_column, "left")
-        .withColumn("tokens", F.coalesce("_lemmas", empty))
-        .drop("_lemmas")
+    lemmas = lemma_table.where("token is not null and lemma is not null").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    lemmas = cut_lineage(lemmas)
+    if lemmas.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return _looked_up(df, lemmas.orderBy("token").toArrow())
+    return _joined(df, lemmas)
+
+
+def _looked_up(df: DataFrame, lemmas: pa.Table) -> DataFrame:
+    known, lemma = lemmas.column("token").combine_chunks(), lemmas.column("lemma").combine_chunks()
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("tokens")
+            lists = batch.column(at)
+            words = lists.flatten()
+            # distinct words of the batch are looked up, texts only carry their numbers
+            coded = words.dictionary_encode()
+            found = lemma.take(pc.index_in(coded.dictionary, known))
+            lemmas_ = pc.coalesce(found, coded.dictionary).take(coded.indices)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            made = pa.ListArray.from_arrays(offsets, lemmas_, mask=lists.is_null())
+            yield batch.set_column(at, "tokens", made)
+
+    plain = df.withColumn("tokens", F.col("tokens").cast("array<string>"))
+    return plain.mapInArrow(replace, plain.schema)
+
+
+def _joined(df: DataFrame, lemmas: DataFrame) -> DataFrame:
+    # the numbers must not change when a task runs again, so they are written with their rows
+    rows = cut_lineage(df.withColumn("_row", F.expr("uuid()")))
+    words = rows.select("_row", F.posexplode("tokens").alias("pos", "token"))
+    replaced = salted_join(words, lemmas, ["token"]).select(
+        "_row", F.struct("pos", F.coalesce("lemma", "token").alias("lemma")).alias("word")
     )
+    regrouped = replaced.groupBy("_row").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    lists = regrouped.select("_row", F.transform("words", lambda w: w["lemma"]).alias("_lemmas"))
+    return rows.join(lists, "_row", "left").withColumn("tokens", F.coalesce("_lemmas", "tokens")).select(df.columns)
 
 
 # Noun endings and what replaces them, as in WordNet's morphology.

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicloom.config import TopicConfig
 from topicloom.operators import alignment, clusters, comparison, lda, metrics, nmf, report, topics
-from topicloom.operators.corpus import assemble_corpus, flatten_lists
+from topicloom.operators.corpus import assemble_corpus, flatten_lists, from_raw
 from topicloom.operators.features import Lexicon, add_ngrams, build_features, feature_vectors, sparse_rows
 from topicloom.operators.normalise import preprocess_abstracts
 from topicloom.sources import models, tables
@@ -23,20 +23,46 @@ METHODS = ("lda", "nmf", "clusters")
 
 
 def run_features(
-    papers: DataFrame, base: str, config: TopicConfig = TopicConfig(), text_column: str = "abstract"
+    papers: DataFrame,
+    base: str,
+    config: TopicConfig = TopicConfig(),
+    text_column: str = "abstract",
+    lemma_table: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Processed documents, both vocabularies and the feature rows."""
+    """Processed documents, both vocabularies and the feature rows.
+
+    A table is built again when the papers, the lemma table or a setting it depends on have
+    changed; otherwise no job but the look at its manifest runs.
+    """
     spark = papers.sparkSession
-    docs = tables.stage(spark, f"{base}/processed", lambda: preprocess_abstracts(papers, text_column, config))
-    built = build_features(docs, config)
-    return {
-        "processed": docs,
-        **{name: tables.stage(spark, f"{base}/{name}", lambda t=table: t) for name, table in built.items()},
-    }
+    lemmas = "" if lemma_table is None else tables.input_fingerprint(lemma_table)
+    lengths = (config.min_word_length, config.max_word_length)
+    made_from = tables.fingerprint("processed", tables.input_fingerprint(papers), text_column, lengths, lemmas)
+    docs = tables.stage(
+        spark, f"{base}/processed", lambda: preprocess_abstracts(papers, text_column, config, lemma_table), made_from
+    )
+    built: dict[str, DataFrame] = {}
 
+    def feature(name: str) -> DataFrame:
+        if not built:
+            built.update(build_features(docs, config))
+        return built[name]
+
+    limits = (config.weighting, config.ngram_range, config.min_df, config.max_df, config.max_features, config.bow_max_terms)
+    out = {"processed": docs}
+    for name in ("vocabulary_bow", "bow", "vocabulary", "features"):
+        out[name] = tables.stage(
+            spark, f"{base}/{name}", lambda name=name: feature(name), tables.fingerprint(name, made_from, limits)
+        )
+    return out
 
-def _vectors(docs: DataFrame, lexicon: Lexicon, config: TopicConfig) -> DataFrame:
-    grams = add_ngrams(docs, *config.ngram_range) if config.weighting == "tfidf" else docs
+
+def _grams(docs: DataFrame, config: TopicConfig) -> DataFrame:
+    """Documents with the tokens that the vocabulary was made of."""
+    return add_ngrams(docs, *config.ngram_range) if config.weighting == "tfidf" else docs
+
+
+def _vectors(grams: DataFrame, lexicon: Lexicon, config: TopicConfig) -> DataFrame:
     vectors = feature_vectors(grams, lexicon, config.weighting)
     return vectors.select("id", "features").persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -60,10 +86,11 @@ def run_lda(
     features: dict[str, DataFrame], base: str, config: TopicConfig = TopicConfig(), find_optimal: bool = True, **fit_options
 ) -> dict[str, DataFrame]:
     docs, lexicon = features["processed"], Lexicon.of(features["vocabulary"])
-    vectors = _vectors(docs, lexicon, config)
+    grams = _grams(docs, config)
+    vectors = _vectors(grams, lexicon, config)
     try:
         if find_optimal:
-            sweep, model = lda.sweep(vectors, docs, lexicon, config.lda_topics, config, **fit_options)
+            sweep, model = lda.sweep(vectors, grams, lexicon, config.lda_topics, config, **fit_options)
         else:
             sweep, model = None, lda.fit_lda(vectors, config.middle(config.lda_topics), config, **fit_options)
         models.save_lda(model, features["vocabulary"], f"{base}/model")
@@ -91,8 +118,7 @@ def run_nmf(
 ) -> dict[str, DataFrame]:
     docs, lexicon = features["processed"], Lexicon.of(features["vocabulary"])
     spark = docs.sparkSession
-    grams = add_ngrams(docs, *config.ngram_range) if config.weighting == "tfidf" else docs
-    rows = sparse_rows(feature_vectors(grams, lexicon, config.weighting)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = sparse_rows(feature_vectors(_grams(docs, config), lexicon, config.weighting)).persist(StorageLevel.MEMORY_AND_DISK)
     options = dict(
         alpha=config.nmf_alpha, l1_ratio=config.nmf_l1_ratio, max_iter=config.nmf_max_iter, seed=config.seed
     )
@@ -121,9 +147,9 @@ def run_clusters(
     Without ``find_optimal`` the topics are merged down to the middle of the range.
     """
     docs, lexicon = features["processed"], Lexicon.of(features["vocabulary"])
-    spark = docs.sparkSession
     if embeddings is None:
-        embeddings = clusters.hash_embedding(feature_vectors(docs, lexicon, config.weighting), lexicon, config.embedding_dims)
+        vectors = feature_vectors(_grams(docs, config), lexicon, config.weighting)
+        embeddings = clusters.hash_embedding(vectors, lexicon, config.embedding_dims)
     dims = config.reduced_dims
     embeddings = tables.save_table(embeddings, f"{base}/embeddings")
     coords = tables.save_table(clusters.reduce_dimensions(embeddings, dims), f"{base}/coords")
@@ -204,16 +230,27 @@ def run_report(
 
 
 def run_all(
-    spark: SparkSession, papers: DataFrame, base: str, config: TopicConfig = TopicConfig(), find_optimal: bool = True
+    spark: SparkSession,
+    papers: DataFrame,
+    base: str,
+    config: TopicConfig = TopicConfig(),
+    find_optimal: bool = True,
+    lemma_table: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Collect, prepare, model and evaluate; the main entry of the package.
+    """Collect, prepare, model, evaluate and report; the main entry of the package.
 
-    ``papers`` has the columns of the raw table with ``categories`` as a list.
+    ``papers`` is the raw table (``sources.tables.PAPER_SCHEMA``); ``categories`` may be a list
+    or comma-separated text. All tables, those of the best method's report included, stand
+    below ``base`` and can be read again by ``sources.tables.load_results``.
     """
+    asked = (config.categories, config.max_results, config.min_year, config.max_results_per_category)
     corpus = tables.stage(
-        spark, f"{base}/corpus", lambda: flatten_lists(assemble_corpus(papers, config=config))
+        spark,
+        f"{base}/corpus",
+        lambda: flatten_lists(assemble_corpus(from_raw(papers), config=config)),
+        tables.fingerprint("corpus", tables.input_fingerprint(papers), asked),
     )
-    features = run_features(corpus, f"{base}/features", config)
+    features = run_features(corpus, f"{base}/features", config, lemma_table=lemma_table)
     modelled = run_methods(features, f"{base}/models", config, find_optimal=find_optimal)
     done = {m: t for m, t in modelled.items() if not isinstance(t, Exception)}
     found = {m: (t["document_topics"], topic_count(t["document_topics"])) for m, t in done.items()}
@@ -228,9 +265,16 @@ def run_all(
         **features,
         "errors": errors,
         "method_rows": rows,
-        "comparison": comparison.comparison_summary(rows),
-        "best_method": comparison.best_method(rows),
+        "comparison": tables.save_table(comparison.comparison_summary(rows), f"{base}/comparison"),
+        "best_method": tables.save_table(comparison.best_method(rows), f"{base}/best_method"),
     }
+    best = out["best_method"].select("method").first()
+    if best:
+        method = best["method"]
+        parts, (doc_topics, k) = done[method], found[method]
+        report = run_report(docs, doc_topics, parts["topic_words"], k, method, config, parts.get("sweep"))
+        for name, table in report.items():
+            out[f"report.{name}"] = tables.save_table(table, f"{base}/report/{name}")
     for method, parts in done.items():
         out.update({f"{method}.{name}": table for name, table in parts.items()})
     return out

@@ -41,9 +41,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and continue from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and continue from the written table.
+
+    A table knows its true size. A checkpoint instead passes on the size estimated for the plan
+    it stands for, which a join multiplies: after some rounds of joins that is a number of
+    thousands of digits, and no join is ever seen to be small enough to broadcast.
+    """
+    path = shared_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_total(df: DataFrame):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -57,9 +59,70 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
-def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at the path; built and written first when it is not there yet."""
-    return load_table(spark, path) if is_complete(spark, path) else save_table(build(), path)
+def fingerprint(*parts) -> str:
+    """Hash of anything that has a stable text: settings, names, other fingerprints."""
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def input_fingerprint(df: DataFrame) -> str:
+    """Hash of what a table is made from: schema, plan, and the files it reads with their sizes
+    and times. Tables that aren't read from files are the same only within a session."""
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    files = sorted(df.inputFiles())
+    if not files:
+        return fingerprint(df.schema.json(), plan, df.semanticHash())
+    jvm, conf, states = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        states.append((name, status.getLen(), status.getModificationTime()))
+    return fingerprint(df.schema.json(), plan, states)
+
+
+def _manifest(spark: SparkSession, path: str):
+    """Hadoop path of the manifest beside a stage, and its file system."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(f"{path}.manifest")
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    place, system = _manifest(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
+    place, system = _manifest(spark, path)
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], made_from: str = "") -> DataFrame:
+    """The table at the path; built and written first when it isn't there yet or was made from
+    something else.
+
+    ``made_from`` is a fingerprint of the settings and of what the stage reads. It stands with
+    the schema in a manifest beside the table, which is taken away before the table is written
+    and written last, so a stage that broke off is never taken for a finished one.
+    """
+    manifest = read_manifest(spark, path)
+    if manifest and manifest["made_from"] == made_from and is_complete(spark, path):
+        return spark.read.schema(StructType.fromJson(manifest["schema"])).parquet(path)
+    place, system = _manifest(spark, path)
+    system.delete(place, False)
+    table = save_table(build(), path)
+    write_manifest(spark, path, {"made_from": made_from, "schema": table.schema.jsonValue()})
+    return table
 
 
 def load_results(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
