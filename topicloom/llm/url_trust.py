@@ -29,13 +29,13 @@ from topicloom.runtime import lookup_join
 
 @dataclass(frozen=True)
 class Spread:
-    """``rounds`` of ``steps`` steps each at most, until no rank moves by more than
-    ``tolerance`` of the sum; ``limit`` is the largest share of distrust that is allowed."""
+    """``steps`` steps are taken between two looks at the ranks, until no further host is reached
+    and no host's share of distrust moves by more than ``tolerance``; ``limit`` is the largest
+    share of distrust that is allowed."""
 
     damping: float = 0.75
     steps: int = 4
-    rounds: int = 5
-    tolerance: float = 0.02
+    tolerance: float = 0.005
     limit: float = 0.5
 
 
@@ -110,7 +110,13 @@ def arcs_of(links: DataFrame) -> DataFrame:
 
 
 def spread(seeds: DataFrame, arcs: DataFrame, how: Spread = Spread()) -> DataFrame:
-    """``(host, trust, distrust)`` from seeds of the same columns; each rank sums to 1 or 0."""
+    """``(host, trust, distrust)`` from seeds of the same columns; each rank sums to 1 or 0.
+
+    What decides is every host's own share of distrust, so hosts of little rank, far from all
+    seeds, are waited for like any other. Ranks converge like powers of ``damping``, so there is
+    an end; steps over the graph are only as many as its longest way to a seed asks for.
+    """
+
     def scaled(df: DataFrame) -> DataFrame:
         sums = df.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
         t, d = (sums["t"] or 0.0) or 1.0, (sums["d"] or 0.0) or 1.0
@@ -118,8 +124,10 @@ def spread(seeds: DataFrame, arcs: DataFrame, how: Spread = Spread()) -> DataFra
 
     seeds = scaled(seeds)
     start = seeds.select("host", *[(F.col(c) * (1 - how.damping)).alias(c) for c in ("trust", "distrust")])
-    state, before = seeds, None
-    for _ in range(how.rounds):
+    share = F.col("distrust") / F.nullif(F.col("trust") + F.col("distrust"), F.lit(0.0))
+    state = stored(seeds, "host_ranks")
+    while True:
+        old = state.select("host", share.alias("before"))
         for _ in range(how.steps):
             moved = arcs.join(state.withColumnsRenamed({"trust": "t", "distrust": "d", "host": "here"}), "here").select(
                 F.col("there").alias("host"),
@@ -130,15 +138,10 @@ def spread(seeds: DataFrame, arcs: DataFrame, how: Spread = Spread()) -> DataFra
                 F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")
             )
         state = stored(state, "host_ranks")
-        if before is not None:
-            old = before.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-            change = state.join(old, "host", "left").agg(
-                F.sum(F.abs(F.col("trust") - F.coalesce("t", F.lit(0.0))) + F.abs(F.col("distrust") - F.coalesce("d", F.lit(0.0))))
-            ).first()[0]
-            if (change or 0.0) <= how.tolerance:
-                break
-        before = state
-    return scaled(state)
+        # a host whose share was or is null has just been reached, or can't be
+        unsettled = ~F.coalesce(F.abs(share - F.col("before")) <= how.tolerance, share.isNull())
+        if state.join(old, "host", "left").where(unsettled).isEmpty():
+            return scaled(state)
 
 
 def host_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]], how: Spread = Spread()) -> DataFrame:
