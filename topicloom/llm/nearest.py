@@ -12,9 +12,9 @@ the best of all tables are merged.
 
 Buckets are dealt out in groups of about ``group_rows`` index rows, and a group that is
 larger, for one hot bucket say, is split by the vectors' ids; queries go to every part, so
-nothing is capped. Ranges of few rows are not hashed: every query is compared with all of
-them. Queries for which fewer than ``k`` neighbours with a product above 0 were found are
-compared with all rows, in blocks. With the defaults recall on 64 dimensions without much structure is about 0.97.
+nothing is capped. Queries for which fewer than ``k`` neighbours with a product above 0 were found are
+compared with all rows, in blocks. With the defaults recall on
+64 dimensions without much structure is about 0.96.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components,
 and those of another length than the most frequent one, take no part. Rows that repeat an
@@ -42,8 +42,8 @@ from topicloom.runtime import lookup_join
 class Probing:
     """``tables`` hash tables of ``codes`` codes each, of which a query visits ``probes`` buckets.
 
-    Norms of a range differ by a factor of up to 2 ** (``span`` / 8). Ranges of at most
-    ``exact_rows`` rows are compared with all queries, ``asked`` of these in a task."""
+    Norms of a range differ by a factor of up to 2 ** (``span`` / 8). Where all rows are compared
+    with queries, that is with ``asked`` of these in a task."""
 
     tables: int = 8
     codes: int = 6
@@ -52,7 +52,6 @@ class Probing:
     group_rows: int = 65_536
     seed: int = 5
     span: int = 4
-    exact_rows: int = 2048
     asked: int = 2048
 
 
@@ -66,15 +65,17 @@ class _Range:
     groups: int
 
 
-def usable(vectors: DataFrame, vector: str = "embedding", id: str = "vec_id") -> DataFrame:
-    """``(id, vec)`` of the vectors that take part, as doubles."""
+def usable(vectors: DataFrame, is_query: Column, vector: str = "embedding", id: str = "vec_id") -> DataFrame:
+    """``(id, vec, asks)`` of the vectors that take part, as doubles; ``asks`` marks the queries."""
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0) & F.col(id).isNotNull())
     size = (
         rows.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).select("n").scalar()
     )
-    return rows.where(F.size(v) == size).select(F.col(id).cast("long").alias("id"), v.cast("array<double>").alias("vec"))
+    return rows.where(F.size(v) == size).select(
+        F.col(id).cast("long").alias("id"), v.cast("array<double>").alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asks")
+    )
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -141,7 +142,7 @@ def _ranges(rows: DataFrame, how: Probing) -> list[_Range]:
         _Range(
             float(np.exp2(low / 8)),
             longest * (1 + 1e-12),
-            -(-n // how.group_rows) if n > how.exact_rows and 0 < longest < float("inf") else 0,
+            -(-n // how.group_rows) if 0 < longest < float("inf") else 0,
         )
         for _, low, longest, n in reversed(found)
     ]
@@ -349,7 +350,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, how: Probing = Pr
 
     ``vectors`` is ``(vec_id, embedding)``; ``is_query`` looks at these columns.
     """
-    rows, asking = usable(vectors), usable(vectors.where(is_query))
+    found = usable(vectors, is_query)
+    rows, asking = found.drop("asks"), found.where("asks").drop("asks")
     ranges = _ranges(rows, how)
     found = _searched(rows, asking, ranges, k, how)
     if not any(r.groups for r in ranges):
