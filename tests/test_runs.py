@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from planted import topic_corpus
 from topicloom.config import TopicConfig
+from topicloom.operators.corpus import from_raw
 from topicloom.plans import runs
 from topicloom.sources import tables as ta
 
@@ -38,9 +40,75 @@ def test_whole_run(spark, papers, tmp_path):
     assert report["run_summary"].first()["optimal_topics"] == 3
     assert report["topic_trend"].count() == 9
 
-    # a second run finds the finished stages; nothing reads the papers again
-    again = runs.run_features(papers.where(F.raise_error(F.lit("read again")).isNull()), f"{base}/features", CONFIG)
-    assert again["processed"].count() == out["processed"].count()
+    assert out["report.topic_trend"].count() == 9
+    stored = ta.load_results(spark, f"{base}/report", ["overall", "topic_summary", "confusion", "gone"])
+    assert set(stored) == {"overall", "topic_summary", "confusion"} and stored["overall"].count() == 1
+
+
+def _written(base, name):
+    return sorted((f.name, f.stat().st_mtime_ns) for f in (base / name).glob("part-*"))
+
+
+def test_stages_follow_their_settings_and_inputs(spark, papers, tmp_path, monkeypatch):
+    source = str(tmp_path / "papers")
+    papers.write.parquet(source)
+    base, names = tmp_path / "f", ("processed", "vocabulary", "features", "vocabulary_bow", "bow")
+    read = spark.read.parquet(source)
+    first = runs.run_features(read, str(base), CONFIG)
+    before = {n: _written(base, n) for n in names}
+
+    def never(*_, **__):
+        raise AssertionError("built again")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "build_features", never)
+        m.setattr(runs, "preprocess_abstracts", never)
+        again = runs.run_features(spark.read.parquet(source), str(base), CONFIG)
+    assert {n: _written(base, n) for n in names} == before
+    assert again["vocabulary"].collect() == first["vocabulary"].collect()
+
+    grams = replace(CONFIG, ngram_range=(2, 2), min_df=3)
+    changed = runs.run_features(read, str(base), grams)
+    assert _written(base, "processed") == before["processed"] and _written(base, "vocabulary") != before["vocabulary"]
+    assert all(" " in r["term"] and r["df"] >= 3 for r in changed["vocabulary"].collect())
+
+    papers.limit(90).write.mode("overwrite").parquet(source)
+    assert runs.run_features(spark.read.parquet(source), str(base), CONFIG)["processed"].count() == 90
+
+
+def test_a_stage_that_broke_off_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "s")
+    ta.stage(spark, path, lambda: spark.range(3), "a")
+
+    def broken():
+        raise ValueError("lost")
+
+    with pytest.raises(ValueError):
+        ta.stage(spark, path, broken, "b")
+    assert ta.read_manifest(spark, path) is None
+    assert ta.stage(spark, path, lambda: spark.range(5), "a").count() == 5
+    empty = ta.stage(spark, str(tmp_path / "e"), lambda: spark.range(0), "a")
+    assert empty.columns == ta.stage(spark, str(tmp_path / "e"), broken, "a").columns
+
+
+def test_word_pairs_reach_every_method(spark, papers, tmp_path):
+    """With pairs as terms the sweep scores pairs, and the hashed vectors come from pairs."""
+    config = replace(CONFIG, ngram_range=(2, 2), min_df=2, lda_passes=2)
+    features = runs.run_features(papers, str(tmp_path / "f"), config)
+    found = runs.run_lda(features, str(tmp_path / "lda"), config)
+    assert all(r["score"] != 0.0 for r in found["sweep"].collect())
+    runs.run_clusters(features, str(tmp_path / "c"), config)
+    vectors = ta.load_table(spark, str(tmp_path / "c" / "embeddings")).collect()
+    assert any(any(r["embedding"]) for r in vectors)
+
+
+def test_raw_papers(spark):
+    rows = [("1", "cs.AI, cs.LG,", None), ("2", None, "x"), ("3", "", ""), ("4", "cs.CV", "cs.RO")]
+    raw = spark.createDataFrame(rows, "id string, categories string, primary_category string")
+    got = {r["id"]: (r["categories"], r["primary_category"]) for r in from_raw(raw).collect()}
+    assert got == {"1": (["cs.AI", "cs.LG"], "cs.AI"), "2": ([], "x"), "3": ([], None), "4": (["cs.CV"], "cs.RO")}
+    lists = spark.createDataFrame([("1", ["a", "b"])], "id string, categories array<string>")
+    assert from_raw(lists).first()["primary_category"] == "a"
 
 
 def test_one_failing_method_does_not_stop_the_others(spark, papers, tmp_path):

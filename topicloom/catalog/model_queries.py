@@ -360,6 +360,32 @@ def merge_topics(spark, sf):
     return cl.merge_topics(cl.class_counts(processed(spark, sf), assigned), cl.topic_sizes(assigned), 3)
 
 
+def _nearest_sql(k: int, start: int = 5) -> str:
+    """Rounds of joining the closest pair written out, one set of CTEs each."""
+    parts = [tokens_sql(), CLUSTERS_SQL, "c0 AS (SELECT * FROM cc)",
+             "z0 AS (SELECT topic, count(*) AS size FROM clusters GROUP BY topic)", "p0 AS (SELECT topic, topic AS merged FROM z0)"]
+    for i in range(start - k):
+        parts.append(f"""tot{i} AS (SELECT topic, sum(tf) AS words FROM c{i} GROUP BY topic),
+f{i} AS (SELECT term, sum(tf) AS f FROM c{i} GROUP BY term),
+w{i} AS MATERIALIZED (SELECT c.topic, c.term, c.tf / CAST(words AS DOUBLE) * ln(1 + (SELECT floor(avg(words)) FROM tot{i}) / CAST(f AS DOUBLE)) AS weight
+  FROM c{i} c JOIN tot{i} USING (topic) JOIN f{i} USING (term) WHERE c.topic <> -1),
+norm{i} AS (SELECT topic, sqrt(sum(weight * weight)) AS nn FROM w{i} GROUP BY topic),
+pair{i} AS (SELECT a.topic AS x, b.topic AS y, sum(a.weight * b.weight) AS d FROM w{i} a JOIN w{i} b USING (term) WHERE a.topic < b.topic GROUP BY ALL),
+best{i} AS (SELECT x, y FROM pair{i} JOIN norm{i} n ON n.topic = x JOIN norm{i} m ON m.topic = y ORDER BY round(d / (n.nn * m.nn), 12) DESC, x, y LIMIT 1),
+move{i} AS MATERIALIZED (SELECT CASE WHEN s.size >= t.size THEN y ELSE x END AS gone, CASE WHEN s.size >= t.size THEN x ELSE y END AS into_
+  FROM best{i} JOIN z{i} s ON s.topic = x JOIN z{i} t ON t.topic = y),
+c{i + 1} AS MATERIALIZED (SELECT coalesce(into_, topic) AS topic, term, sum(tf) AS tf FROM c{i} LEFT JOIN move{i} ON gone = topic GROUP BY ALL),
+z{i + 1} AS (SELECT coalesce(into_, topic) AS topic, sum(size) AS size FROM z{i} LEFT JOIN move{i} ON gone = topic GROUP BY ALL),
+p{i + 1} AS (SELECT topic, coalesce(into_, merged) AS merged FROM p{i} LEFT JOIN move{i} ON gone = merged)""")
+    return with_sql(*parts, select=f"SELECT topic, merged FROM p{start - k}")
+
+
+@query("m18_merge_nearest", _nearest_sql(2))
+def merge_nearest(spark, sf):
+    assigned = cluster_topics(spark, sf)
+    return cl.merge_nearest(cl.class_counts(processed(spark, sf), assigned), cl.topic_sizes(assigned), 2)
+
+
 @query("m18_reduce_topics")
 def reduce_topics(spark, sf):
     return cl.reduce_topics(processed(spark, sf), cluster_topics(spark, sf), 3)
@@ -405,6 +431,17 @@ def soft_topics(spark, sf):
     return rounded(found.select("id", F.posexplode("topic_dist").alias("topic_id", "weight")), "weight")
 
 
+@query("m20_nearest_topics", with_sql(_SOFT, "shared AS (SELECT id, topic_id, s / sum(s) OVER (PARTITION BY id) AS w FROM close)",
+    select="""SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY round(w, 12) DESC, topic_id) AS INTEGER) AS rank, topic_id, round(w, 6) AS weight
+    FROM shared QUALIFY rank <= 2"""))
+def nearest_topics(spark, sf):
+    labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 4).cast("int").alias("topic"))
+    coords = embedding_coords(spark, sf)
+    found = cl.nearest_topics(coords, cl.centre_matrix(cl.centroids(coords, labels, 64)), 2)
+    listed = found.select("id", F.posexplode("topics").alias("rank", "t"))
+    return rounded(listed.select("id", (F.col("rank") + 1).alias("rank"), F.col("t.topic").alias("topic_id"), F.col("t.weight").alias("weight")), "weight")
+
+
 @query("m21_detected_topics", with_sql(
     "c AS (SELECT CASE WHEN doc_id % 11 = 0 THEN -1 ELSE n_chars % 5 END AS topic FROM documents)",
     select="SELECT count(DISTINCT topic) FILTER (WHERE topic <> -1) AS k_detected FROM c"))

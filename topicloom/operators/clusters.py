@@ -28,9 +28,6 @@ from topicloom.runtime import cut_lineage, lookup_join, number_rows, salted_join
 #: Rounds of merging labels before the result is written out again.
 ROUNDS_PER_CUT = 3
 
-#: Topics whose centroids are sent to the tasks for dense document weights.
-MAX_CENTRES = 20_000
-
 
 # -- document vectors --------------------------------------------------------------
 
@@ -334,13 +331,127 @@ def merge_topics(counts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
     return mapping
 
 
+#: Topics a side of a block in which similarities are computed.
+BLOCK_TOPICS = 256
+
+#: Terms whose weights are multiplied at a time.
+BLOCK_TERMS = 4096
+
+
+def _block_best(rows: pa.Table) -> pa.Table:
+    """The nearest partner of every topic of the first block among those of the second.
+
+    ``rows`` holds ``(i, j, side, topic, term, weight, norm)`` of one pair of blocks. Weights
+    are multiplied a stretch of terms at a time, so no table of all terms is ever dense.
+    """
+    import pandas as pd
+
+    frame = rows.to_pandas()
+    frame["term"] = pd.factorize(frame["term"])[0]
+    sides = [frame[frame["side"] == side] for side in (0, 1)]
+    if not len(sides[0]) or not len(sides[1]):
+        return pa.table({"topic": pa.array([], pa.int64()), "partner": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
+    names = [np.unique(side["topic"].to_numpy()) for side in sides]
+    total = np.zeros((len(names[0]), len(names[1])))
+    for start in range(0, int(frame["term"].max()) + 1, BLOCK_TERMS):
+        dense = []
+        for side, name in zip(sides, names):
+            part = side[(side["term"] >= start) & (side["term"] < start + BLOCK_TERMS)]
+            matrix = np.zeros((len(name), BLOCK_TERMS))
+            matrix[np.searchsorted(name, part["topic"]), part["term"] - start] = part["weight"]
+            dense.append(matrix)
+        total += dense[0] @ dense[1].T
+    norms = [side.drop_duplicates("topic").set_index("topic")["norm"].reindex(name).to_numpy() for side, name in zip(sides, names)]
+    scale = norms[0][:, None] * norms[1][None]
+    cosine = np.round(np.divide(total, scale, out=np.zeros_like(total), where=scale > 0), 12)
+    cosine[names[0][:, None] == names[1][None]] = -2
+    # of equal pairs the one with the smaller numbers, seen from either topic
+    low, high = np.minimum.outer(names[0], names[1]), np.maximum.outer(names[0], names[1])
+    best = [np.lexsort((high[r], low[r], -cosine[r]))[0] for r in range(len(names[0]))]
+    found = cosine[np.arange(len(best)), best]
+    real = found > -2
+    return pa.table({"topic": names[0][real].astype(np.int64), "partner": names[1][best][real].astype(np.int64), "cosine": found[real]})
+
+
+def nearest_partners(weights: DataFrame) -> DataFrame:
+    """``(topic, partner, cosine)``: the most similar other topic of every topic, by class TF-IDF.
+
+    Topics are dealt into blocks; every pair of blocks is one task of bounded size, from which
+    one row a topic comes back, so no table of topics x topics is ever written.
+    """
+    norms = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    count = norms.count()
+    blocks = max(1, -(-count // BLOCK_TOPICS))
+    placed = weights.join(norms, "topic").withColumn("own", F.pmod(F.xxhash64("topic"), F.lit(blocks)).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    columns = ["topic", "term", "weight", "norm"]
+    left = placed.select(F.col("own").alias("i"), others.alias("j"), F.lit(0).alias("side"), *columns)
+    right = placed.select(others.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), *columns)
+    found = left.unionByName(right).groupBy("i", "j").applyInArrow(_block_best, "topic long, partner long, cosine double")
+    low, high = F.least("topic", "partner"), F.greatest("topic", "partner")
+    best = found.groupBy("topic").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), low.alias("low"), high.alias("high"), "partner")).alias("b"))
+    return best.select("topic", "b.partner", (-F.col("b.minus")).alias("cosine"))
+
+
+def merge_nearest(counts: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """``(topic, merged)``: topics joined together until at most ``k`` are left, closest first.
+
+    In a round all pairs that are each other's most similar topic are joined at once, the
+    smaller topic into the larger one, of equal ones into the smaller number; where that would
+    be too many, the most similar of them. So the rounds grow with the logarithm of the number
+    of topics. ``counts`` is ``(topic, term, tf)``, ``sizes`` is ``(topic, size)``; outliers
+    (-1) stay out of it. Only the sums of joined topics are made anew.
+    """
+    counts, sizes = cut_lineage(counts), cut_lineage(sizes)
+    mapping = sizes.select("topic", F.col("topic").alias("merged"))
+    left = sizes.where("topic != -1").count()
+    while left > max(k, 1):
+        weights = class_tfidf(counts).where("topic != -1").select(F.col("topic").cast("long").alias("topic"), "term", "weight")
+        best = cut_lineage(nearest_partners(weights))
+        back = best.select(F.col("topic").alias("partner"), F.col("partner").alias("topic"))
+        pairs = best.where("topic < partner").join(back, ["topic", "partner"], "left_semi")
+        chosen = pairs.orderBy(F.desc("cosine"), "topic", "partner").limit(left - max(k, 1))
+        sized = sizes.select(F.col("topic").alias("t"), "size")
+        moves = cut_lineage(
+            chosen.join(sized.withColumnsRenamed({"t": "topic", "size": "n"}), "topic")
+            .join(sized.withColumnsRenamed({"t": "partner", "size": "m"}), "partner")
+            .select(
+                F.when(F.col("n") >= F.col("m"), F.col("partner")).otherwise(F.col("topic")).alias("topic"),
+                F.when(F.col("n") >= F.col("m"), F.col("topic")).otherwise(F.col("partner")).alias("into"),
+            )
+        )
+        done = moves.count()
+        if not done:  # topics without any term have no partner
+            break
+        touched = cut_lineage(moves.select("topic", "into").unionByName(moves.select(F.col("into").alias("topic"), "into")))
+
+        def joined(df: DataFrame, *by: str, value: str) -> DataFrame:
+            same = df.join(touched, "topic", "left_anti")
+            moved = df.join(touched, "topic").groupBy(F.col("into").cast(df.schema["topic"].dataType).alias("topic"), *by)
+            return cut_lineage(same.unionByName(moved.agg(F.sum(value).alias(value))))
+
+        counts, sizes = joined(counts, "term", value="tf"), joined(sizes, value="size")
+        step = moves.withColumnRenamed("topic", "merged")
+        kind = mapping.schema["topic"].dataType
+        mapping = cut_lineage(
+            mapping.join(step, "merged", "left").select("topic", F.coalesce("into", "merged").cast(kind).alias("merged"))
+        )
+        left -= done
+    return mapping
+
+
 def topic_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("topic").agg(F.count(F.lit(1)).alias("size"))
 
 
-def reduce_topics(docs: DataFrame, assigned: DataFrame, k: int) -> DataFrame:
-    """``(id, topic)`` with at most ``k`` topics, numbered from 0 by size."""
-    mapping = merge_topics(class_counts(docs, assigned), topic_sizes(assigned), k)
+def reduce_topics(docs: DataFrame, assigned: DataFrame, k: int, rule: str = "nearest") -> DataFrame:
+    """``(id, topic)`` with at most ``k`` topics, numbered from 0 by size.
+
+    By the rule ``nearest`` the most similar topics are joined first, many in a round; by
+    ``smallest`` the smallest topic goes into its most similar one, one a round.
+    """
+    merge = {"nearest": merge_nearest, "smallest": merge_topics}[rule]
+    mapping = merge(class_counts(docs, assigned), topic_sizes(assigned), k)
     merged = lookup_join(assigned, mapping, "topic", how="inner").select("id", F.col("merged").alias("topic"))
     order = Window.orderBy(F.desc("size"), "topic")  # at most k rows
     numbers = topic_sizes(merged).where("topic != -1").select("topic", (F.row_number().over(order) - 1).alias("n"))
@@ -359,10 +470,24 @@ def centroids(coords: DataFrame, assigned: DataFrame, dims: int) -> DataFrame:
     return joined.groupBy("topic").agg(F.array(*means).alias("centroid"))
 
 
+def _closeness(batches: Iterator[pa.RecordBatch], fixed: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and ``1 / (1 + distance)`` to every centre, so many rows at a time that a slice fits
+    in about 32 MB whatever the number of centres."""
+    square = (fixed**2).sum(1)[None, :]
+    step = max(1, 4_000_000 // max(1, len(fixed)))
+    for batch in batches:
+        points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        for at in range(0, batch.num_rows, step):
+            some = points[at : at + step]
+            far = (some**2).sum(1)[:, None] + square - 2 * some @ fixed.T
+            yield batch.column(0).slice(at, len(some)), 1.0 / (1.0 + np.sqrt(np.maximum(far, 0.0)))
+
+
 def soft_topics(coords: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
     """``(id, topic_dist)``: closeness ``1 / (1 + distance)`` to each centre, as shares.
 
-    ``centres`` is topics x dimensions; only that small matrix is sent to the tasks.
+    ``centres`` is topics x dimensions; only that matrix is sent to the tasks. A row holds a
+    weight for every topic, so with many topics ``nearest_topics`` is the better form.
     """
     k = len(centres)
     kind = coords.schema["id"].dataType.simpleString()
@@ -371,27 +496,47 @@ def soft_topics(coords: DataFrame, centres: Sequence[Sequence[float]]) -> DataFr
     fixed = np.asarray(centres, dtype=float)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            square = (points**2).sum(1)[:, None] + (fixed**2).sum(1)[None, :] - 2 * points @ fixed.T
-            close = 1.0 / (1.0 + np.sqrt(np.maximum(square, 0.0)))
+        for ids, close in _closeness(batches, fixed):
             shares = close / close.sum(axis=1, keepdims=True)
             offsets = pa.array(np.arange(0, shares.size + 1, k, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(shares.ravel()))], ["id", "topic_dist"]
-            )
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, pa.array(shares.ravel()))], ["id", "topic_dist"])
 
     return coords.select("id", "coords").mapInArrow(score, f"id {kind}, topic_dist array<double>")
 
 
-def centre_matrix(centres: DataFrame) -> list[list[float]]:
-    """Centroids in topic order, for the tasks.
+def nearest_topics(coords: DataFrame, centres: Sequence[Sequence[float]], m: int = 16) -> DataFrame:
+    """``(id, topics)``: the ``m`` nearest topics of a document as ``(topic, weight)``, nearest first.
 
-    The size is checked before anything is collected: every document gets a weight per
-    topic, so beyond ``MAX_CENTRES`` the topics have to be merged first.
+    Weights are shares of the closeness to all centres, so they are those of ``soft_topics``,
+    which this equals where ``m`` is the number of topics. Equal ones go to the smaller number.
     """
-    if centres.limit(MAX_CENTRES + 1).count() > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} topics; merge them with reduce_topics first")
+    kind = coords.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, topics array<struct<topic:int,weight:double>>"
+    if not len(centres):
+        return coords.select("id", F.array().cast("array<struct<topic:int,weight:double>>").alias("topics"))
+    fixed = np.asarray(centres, dtype=float)
+    kept = min(m, len(fixed))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, close in _closeness(batches, fixed):
+            # ties at the edge of the m nearest are cut by number too, so all of the same closeness come in
+            edge = -np.partition(-close, kept - 1, axis=1)[:, kept - 1 : kept]
+            rows, cols = np.nonzero(close >= edge)
+            order = np.lexsort((cols, -close[rows, cols], rows))
+            rows, cols = rows[order], cols[order]
+            first = np.searchsorted(rows, rows)
+            inside = np.arange(len(rows)) - first < kept
+            rows, cols = rows[inside], cols[inside]
+            shares = close[rows, cols] / close.sum(axis=1)[rows]
+            pairs = pa.StructArray.from_arrays([pa.array(cols.astype(np.int32)), pa.array(shares)], ["topic", "weight"])
+            offsets = pa.array(np.arange(0, len(rows) + 1, kept, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, pairs)], ["id", "topics"])
+
+    return coords.select("id", "coords").mapInArrow(score, schema)
+
+
+def centre_matrix(centres: DataFrame) -> list[list[float]]:
+    """Centroids in topic order, for the tasks: topics x dimensions numbers."""
     return [r["centroid"] for r in centres.orderBy("topic").collect()]
 
 

@@ -145,13 +145,14 @@ def cell_tops(cells: DataFrame, dims: int, min_points: int) -> DataFrame | None:
     ``cells`` is ``(grp, cell, at, n, background)``. None if there is no such cell.
     """
     lent = around(cells, dims, "n").groupBy(F.col("near").alias("cell")).agg(F.sum("n").alias("density"))
-    core = cut_lineage(cells.join(lent.where(F.col("density") >= min_points), "cell"))
+    # estimates of sizes don't see that an explode multiplies rows, so nothing exploded may be broadcast
+    core = cut_lineage(cells.join(lent.where(F.col("density") >= min_points).hint("merge"), "cell"))
     total = core.count()
     if not total:
         return None
     least = math.log(total / CHANCE)
     other = core.select(F.col("cell").alias("near"), F.col("density").alias("near_density"))
-    touch = cut_lineage(around(core, dims, "density").where("near != cell").join(other, "near"))
+    touch = cut_lineage(around(core, dims, "density").where("near != cell").hint("merge").join(other, "near"))
     steepest = touch.groupBy("cell").agg(F.max(F.struct("near_density", "near")).alias("up"))
     here = F.struct(F.col("density").alias("near_density"), F.col("cell").alias("near"))
     ways = core.join(steepest, "cell", "left").select(
