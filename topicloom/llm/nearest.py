@@ -14,7 +14,7 @@ Buckets are dealt out in groups of about ``group_rows`` index rows, and a group
 larger, for one hot bucket say, is split by the vectors' ids; queries go to every part, so
 nothing is capped. Queries for which fewer than ``k`` neighbours with a product above 0 were found are
 compared with all rows, in blocks. With the defaults recall on
-64 dimensions without much structure is about 0.96.
+64 dimensions without much structure is about 0.99, and 0.97 where norms are lognormal.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components,
 and those of another length than the most frequent one, take no part. Rows that repeat an
@@ -48,7 +48,7 @@ class Probing:
     tables: int = 8
     codes: int = 6
     width: float = 1.5
-    probes: int = 120
+    probes: int = 240
     group_rows: int = 65_536
     seed: int = 5
     span: int = 4
