@@ -162,7 +162,7 @@ def left_out(lists: DataFrame) -> DataFrame:
             keys, rows = [], []
             for row, (old, w) in enumerate(zip(column(batch, "list"), column(batch, "word"))):
                 codes = _CODE[np.frombuffer(w.encode("latin-1"), np.uint8)]
-                powers = np.cumprod(np.concatenate([[1], np.full(len(codes), _BASE, np.uint64)]).astype(np.uint64))
+                powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _BASE, np.uint64)]))
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers[:-1], dtype=np.uint64)])
                 made = np.append(sums[:-1] + (sums[-1] - sums[1:]) * _INVERSE, sums[-1])
                 keys.append(np.unique(mixed(made + mixed(np.array([old or 0], np.int64).view(np.uint64)))))
