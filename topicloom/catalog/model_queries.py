@@ -12,7 +12,7 @@ from topicloom.catalog.base import (
 from topicloom.catalog.report_queries import source_words_sql
 from topicloom.config import TopicConfig
 from topicloom.functions import arrays
-from topicloom.operators import clusters as cl, coherence as ch, features as fe, lda, nmf, topics as tp
+from topicloom.operators import clusters as cl, coherence as ch, features as fe, lda, nmf, online_lda as ol, topics as tp
 from topicloom.plans import runs
 from topicloom.runtime import cut_lineage, shared_path
 
@@ -66,7 +66,57 @@ def lda_document_topics(spark, sf):
         return lda.document_topics(lda.fit_lda(f.vectors, 3), f.vectors)
 
 
-@query("m07_lda_tables")
+@query("m02_lda_trace", "SELECT CAST(k AS INTEGER) AS k, CAST(20 AS BIGINT) AS updates, true AS falls FROM (VALUES (3), (5)) t(k)")
+def lda_trace(spark, sf):
+    """Two models fitted in the same passes: an update a pass, and a lower perplexity at the end."""
+    with Fitted(spark, sf) as f:
+        trace = ol.trace_table(spark, ol.fit_many(f.rows, len(f.lexicon), [3, 5]))
+        first, last = F.min_by("log_perplexity", "update"), F.max_by("log_perplexity", "update")
+        return trace.groupBy("k").agg(F.count(F.lit(1)).alias("updates"), (last < first).alias("falls"))
+
+
+@query("m03_lda_shared_sweep", """SELECT CAST(k AS INTEGER) AS k, true AS in_range, CAST(1 AS BIGINT) AS chosen FROM (VALUES (3), (5), (7), (10)) t(k)""")
+def lda_shared_sweep(spark, sf):
+    """Coherence of every default topic count lies between -1 and 1, and one count is chosen."""
+    with Fitted(spark, sf) as f:
+        found = cut_lineage(ol.sweep(f.rows, f.docs, f.lexicon, TopicConfig().lda_topics)[0])
+        chosen = found.agg(F.count_if("is_optimal").alias("n")).scalar()
+        return found.select("k", F.col("score").between(-1, 1).alias("in_range"), chosen.alias("chosen"))
+
+
+@query("m05_lda_word_order", """SELECT CAST(range AS INTEGER) AS topic_id, CAST(10 AS BIGINT) AS words, true AS falling, true AS known FROM range(3)""")
+def lda_word_order(spark, sf):
+    """Every topic has ten different words of the vocabulary, the likeliest first."""
+    with Fitted(spark, sf) as f:
+        words = ol.topic_words(spark, ol.fit_many(f.rows, len(f.lexicon), [3])[3], f.lexicon, 10)
+        known = words.join(f.vocab.select(F.col("term").alias("word"), F.lit(True).alias("in_vocabulary")), "word", "left")
+        weights = F.transform(F.sort_array(F.collect_list(F.struct("rank", "weight"))), lambda r: r["weight"])
+        return known.groupBy("topic_id").agg(
+            F.count_distinct("word").alias("words"),
+            (weights == F.reverse(F.sort_array(F.collect_list("weight")))).alias("falling"),
+            F.bool_and(F.coalesce("in_vocabulary", F.lit(False))).alias("known"),
+        )
+
+
+@query("m06_lda_share_totals", with_sql(tokens_sql(), select="SELECT count(DISTINCT id) AS documents, CAST(count(DISTINCT id) AS DOUBLE) AS total, true AS positive FROM tok"))
+def lda_share_totals(spark, sf):
+    """The topic shares of every document sum to 1."""
+    with Fitted(spark, sf) as f:
+        dist = cut_lineage(ol.document_topics(f.rows, ol.fit_many(f.rows, len(f.lexicon), [3])[3]))
+        total = F.aggregate("topic_dist", F.lit(0.0), lambda a, x: a + x)
+        return dist.agg(
+            F.count_distinct("id").alias("documents"), F.round(F.sum(total), 6).alias("total"),
+            F.bool_and(F.forall("topic_dist", lambda x: x > 0)).alias("positive"),
+        )
+
+
+def _table_rows_sql(**rows: int) -> str:
+    """Name and row count of tables whose size the parameters give, and of one row a document."""
+    parts = [f"SELECT '{name}' AS name, CAST({n} AS BIGINT) AS rows" for name, n in rows.items()]
+    return with_sql(tokens_sql(), select=" UNION ALL ".join([*parts, "SELECT 'document_topics', count(DISTINCT id) FROM tok"]))
+
+
+@query("m07_lda_tables", _table_rows_sql(topic_words=105, fit_quality=1, topic_shares=7, term_relevance=210, term_saliency=30, topic_distances=21))
 def lda_tables(spark, sf):
     """Rows of every table of a whole run without a sweep."""
     features = runs.run_features(papers(spark, sf), shared_path(spark, "m07"))
@@ -187,14 +237,15 @@ def nmf_fit(spark, sf):
         return nmf.topic_words(spark, nmf.fit_nmf(f.rows, len(f.lexicon), 5), f.lexicon)
 
 
-@query("m10_nmf_collapse_guard")
+@query("m10_nmf_collapse_guard", "SELECT true AS collapsed, true AS refitted")
 def nmf_collapse_guard(spark, sf):
     """A penalty that empties H leads to a second fit without penalties."""
     with Fitted(spark, sf) as f:
         strong = dict(alpha=0.1, scale_penalty=True)
         first = nmf.fit_many(f.rows, len(f.lexicon), [4], **strong)[4]
         final = nmf.fit_nmf(f.rows, len(f.lexicon), 4, **strong)
-        return spark.createDataFrame([(float(first.h.max()), float(final.h.max()))], "first_max double, final_max double")
+        row = (bool(first.h.max() <= nmf.TINY), bool(final.h.max() > 0.001))
+        return spark.createDataFrame([row], "collapsed boolean, refitted boolean")
 
 
 @query("m11_nmf_error", with_sql(
@@ -242,7 +293,7 @@ def nmf_fitted_topics(spark, sf):
         return nmf.document_topics(f.rows, nmf.fit_nmf(f.rows, len(f.lexicon), 5))
 
 
-@query("m14_nmf_tables")
+@query("m14_nmf_tables", _table_rows_sql(topic_words=180))
 def nmf_tables(spark, sf):
     features = runs.run_features(papers(spark, sf), shared_path(spark, "m14"))
     found = runs.run_nmf(features, shared_path(spark, "nmf"), find_optimal=False)
@@ -287,6 +338,19 @@ def reduce_dimensions(spark, sf):
     return cl.reduce_dimensions(cl.embed(vectors, embedding_column="embedding"), 5)
 
 
+@query("m16_component_variances", "SELECT CAST(range AS INTEGER) AS component, true AS ordered, true AS centred FROM range(5)")
+def component_variances(spark, sf):
+    """Each component varies no more than the one before, and they don't go together."""
+    found = cut_lineage(reduce_dimensions(spark, sf))
+    x = [F.get("coords", F.lit(i)) for i in range(5)]
+    stats = found.agg(F.array(*[F.var_pop(c) for c in x]).alias("v"), F.array(*[F.covar_pop(x[i], x[(i + 1) % 5]) for i in range(5)]).alias("c"))
+    component = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("component")
+    before = F.get("v", F.greatest(F.col("component") - 1, F.lit(0)))
+    return stats.select("v", "c", component).select(
+        "component", (F.get("v", "component") <= before + 1e-12).alias("ordered"), (F.abs(F.get("c", "component")) < 1e-9).alias("centred")
+    )
+
+
 #: Grid of the density query: wide cells, since the vectors have no structure.
 WIDTH = 0.2
 MIN_POINTS = 12
@@ -461,13 +525,17 @@ def cluster_tables(spark, sf):
     return _counted(found, ("topic_words", "document_topics", "assigned_topic", "detected"))
 
 
-@query("m24_run_methods")
+@query("m24_run_methods", with_sql(tokens_sql(), select="""SELECT method, '' AS error, (SELECT count(DISTINCT id) FROM tok) AS documents
+FROM (VALUES ('lda'), ('nmf'), ('clusters')) m(method) UNION ALL SELECT 'unknown', 'KeyError', 0"""))
 def run_methods(spark, sf):
-    """Methods run on their own; an unknown one leaves its error behind."""
+    """Methods run on their own; an unknown one leaves its error behind. Every other one has
+    topics of all documents."""
     features = runs.run_features(papers(spark, sf), shared_path(spark, "m24"))
-    found = runs.run_methods(features, shared_path(spark, "models"), methods=("nmf", "clusters", "unknown"), find_optimal=False)
-    rows = [(m, isinstance(t, Exception), type(t).__name__ if isinstance(t, Exception) else "") for m, t in found.items()]
-    return spark.createDataFrame(rows, "method string, failed boolean, error string")
+    found = runs.run_methods(features, shared_path(spark, "models"), methods=("lda", "nmf", "clusters", "unknown"), find_optimal=False)
+    rows = [
+        (m, type(t).__name__, 0) if isinstance(t, Exception) else (m, "", t["document_topics"].count()) for m, t in found.items()
+    ]
+    return spark.createDataFrame(rows, "method string, error string, documents long")
 
 
 # -- H ------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicloom.config import TopicConfig
 from topicloom.operators import topics
+from topicloom.operators.coherence import topic_coherence
 from topicloom.operators.features import Lexicon
 from topicloom.operators.nmf import _slices
 from topicloom.runtime import shared_path
@@ -289,6 +291,27 @@ def fit_many(
     return models
 
 
+def sweep(
+    rows: DataFrame, docs: DataFrame, lexicon: Lexicon, ks: Sequence[int], config: TopicConfig = TopicConfig(), **fit_options
+) -> tuple[DataFrame, OnlineLda]:
+    """Coherence of every topic count over ``docs``, and the model with the highest.
+
+    All models are fitted in the same passes, and their words are scored in one more.
+    """
+    spark, step = rows.sparkSession, max(ks)
+    models = fit_many(rows, len(lexicon), ks, config, **fit_options)
+    # topic t of the model at position i is numbered i * step + t meanwhile
+    words = [
+        topic_words(spark, models[k], lexicon, config.coherence_words).withColumn("topic_id", F.col("topic_id") + i * step)
+        for i, k in enumerate(ks)
+    ]
+    coherence = topic_coherence(docs, reduce(DataFrame.unionByName, words), config.coherence)
+    position = F.floor(F.col("topic_id") / step).cast("int").alias("position")
+    means = {r["position"]: r["score"] for r in coherence.groupBy(position).agg(F.avg("coherence").alias("score")).collect()}
+    table = topics.sweep_table(spark, ks, [means[i] for i in range(len(ks))], largest=True)
+    return table, models[topics.chosen_k(table)]
+
+
 def trace_table(spark: SparkSession, models: dict[int, OnlineLda], every: int = 1) -> DataFrame:
     """``(k, update, documents, log_perplexity)`` of every ``every``-th update."""
     rows = [(k, u, n, x) for k, m in models.items() for u, n, x in m.trace if u % every == 0]
