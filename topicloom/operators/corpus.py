@@ -28,7 +28,7 @@ def from_raw(papers: DataFrame) -> DataFrame:
     """
     out = ensure_categories(papers)
     if out.schema["categories"].dataType.simpleString() == "string":
-        names = F.transform(F.split(F.coalesce("categories", F.lit("")), ","), F.trim)
+        names = F.transform(F.split(F.coalesce("categories", F.lit("")), ","), lambda c: F.trim(c))
         out = out.withColumn("categories", F.filter(names, lambda c: c != ""))
     primary = F.nullif(F.trim("primary_category"), F.lit(""))
     return out.withColumn("primary_category", F.coalesce(primary, F.get("categories", F.lit(0))))
