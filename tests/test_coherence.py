@@ -67,7 +67,7 @@ def brute(rows, lists, measure):
 @pytest.mark.parametrize("measure", ["c_v", "c_npmi", "c_uci", "u_mass"])
 def test_against_written_out_windows(corpus, measure, monkeypatch):
     rows, lists, docs, words = corpus
-    monkeypatch.setattr(ch, "SLICE_TOKENS", 200)
+    monkeypatch.setattr(ch, "SLICE_HITS", 60)
     got = {r["topic_id"]: r["coherence"] for r in ch.topic_coherence(docs, words, measure).collect()}
     want = brute(rows, lists, measure)
     assert got.keys() == want.keys()

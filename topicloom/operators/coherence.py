@@ -4,14 +4,14 @@ Probabilities are shares of sliding windows over the whole corpus (of documents,
 u_mass). The counting is one pass over the documents and writes no window as a row: every
 occurrence of a top word covers a range of window starts, and between two ends of such
 ranges the set of words in a window does not change. A stretch of windows is therefore
-counted at once, so the cost follows the number of occurrences. The top words of all
-topics are a bounded list (topics x words) and travel with the tasks; each task returns
-topics x words x words sums, which Spark adds up.
+counted at once, so the cost follows the number of occurrences. Only positions of top words
+leave the JVM. The top words of all topics are a bounded list (topics x words) and travel with
+the tasks; each task returns topics x words x words sums, which Spark adds up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,8 @@ EPSILON = 1e-12
 #: Window sizes of the sliding-window measures.
 WINDOWS = {"c_v": 110, "c_uci": 10, "c_npmi": 10}
 
-#: Tokens handled at a time inside a task, to bound its memory. Documents stay whole.
-SLICE_TOKENS = 300_000
+#: Occurrences handled at a time inside a task, to bound its memory. Documents stay whole.
+SLICE_HITS = 300_000
 
 
 def _topic_lists(topic_words: DataFrame) -> list[tuple[int, list[str]]]:
@@ -66,6 +66,16 @@ def _windows_shared(first: np.ndarray, end: np.ndarray, rank: np.ndarray, n: int
     return inside.T @ (inside * np.diff(edges)[:, None])
 
 
+def postings(docs: DataFrame, words: Sequence[str]) -> DataFrame:
+    """``(n_tokens, positions, words)``: where the given words stand in each document.
+
+    All other tokens stay in the JVM; only these short lists go on to where windows are counted.
+    """
+    placed = F.transform("tokens", lambda t, i: F.when(t.isin(list(words)), F.struct(i.alias("pos"), t.alias("word"))))
+    hits = docs.select(F.greatest(F.size("tokens"), F.lit(0)).alias("n_tokens"), F.array_compact(placed).alias("hits"))
+    return hits.select("n_tokens", F.col("hits.pos").alias("positions"), F.col("hits.word").alias("words"))
+
+
 def pair_counts(docs: DataFrame, topic_words: DataFrame, window: int | None) -> DataFrame:
     """``(topic_id, rank_i, rank_j, n)``: windows with both words, zero counts left out.
 
@@ -84,23 +94,22 @@ def pair_counts(docs: DataFrame, topic_words: DataFrame, window: int | None) ->
         sums = [np.zeros((len(ws), len(ws))) for _, ws in members]
         windows = 0
         for batch in batches:
-            tokens = batch.column(0)
-            all_lengths = np.asarray(tokens.value_lengths().fill_null(0), dtype=np.int64)
-            codes = pc.index_in(tokens.flatten(), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(all_lengths)
+            all_lengths = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            hits = np.asarray(batch.column(1).value_lengths().fill_null(0), dtype=np.int64)
+            places = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            codes = pc.index_in(batch.column(2).flatten(), value_set=known).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(hits)
             windows += len(all_lengths) if window is None else int(np.maximum(1, all_lengths - window + 1).sum())
             row = 0
             while row < len(all_lengths):
-                offset = ends[row] - all_lengths[row]
-                stop = max(row + 1, int(np.searchsorted(ends, offset + SLICE_TOKENS, side="right")))
+                offset = ends[row] - hits[row]
+                stop = max(row + 1, int(np.searchsorted(ends, offset + SLICE_HITS, side="right")))
                 lengths = all_lengths[row:stop]
-                code = codes[offset : ends[stop - 1]]
-                at = np.flatnonzero(code >= 0)
-                token_docs = np.repeat(np.arange(len(lengths)), lengths)[at]
-                positions = at - (np.cumsum(lengths) - lengths)[token_docs]
+                code, positions = codes[offset : ends[stop - 1]], places[offset : ends[stop - 1]]
+                token_docs = np.repeat(np.arange(len(lengths)), hits[row:stop])
                 first, end = _starts_covered(token_docs, positions, lengths, window)
-                order = np.argsort(code[at], kind="stable")
-                bounds = np.searchsorted(code[at][order], np.arange(len(words) + 1))
+                order = np.argsort(code, kind="stable")
+                bounds = np.searchsorted(code[order], np.arange(len(words) + 1))
                 for total, (_, ws) in zip(sums, members):
                     parts = [order[bounds[w] : bounds[w + 1]] for w in ws]
                     own = np.concatenate(parts)
@@ -113,7 +122,7 @@ def pair_counts(docs: DataFrame, topic_words: DataFrame, window: int | None) ->
             out += [(topic, i + 1, j + 1, round(total[i, j])) for i, j in zip(*np.nonzero(total))]
         yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in out], schema=kinds)
 
-    parts = docs.select("tokens").mapInArrow(count, "topic_id int, rank_i int, rank_j int, n long")
+    parts = postings(docs, words).mapInArrow(count, "topic_id int, rank_i int, rank_j int, n long")
     return parts.groupBy("topic_id", "rank_i", "rank_j").agg(F.sum("n").alias("n"))
 
 
