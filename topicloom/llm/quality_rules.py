@@ -8,14 +8,15 @@ the most lenient on and testing stops at the first that fails (fixed-sequence te
 strata and rules share the error probability evenly (Bonferroni). So with probability
 ``1 - delta`` no chosen cutoff rejects more than its share of the good documents of a stratum.
 
-Defined cases: a null text has no words and fails the base checks; a null language is a
-stratum of its own; without labels nothing is certified and only the base checks reject;
+Defined cases: a null text has no words and fails the base checks; a null language
+shares the stratum of the empty name; without labels nothing is certified and only the base checks reject;
 a document with several labels is good only if all of them say so; every row is judged on
 its own, so repeated rows get equal verdicts. Other columns are carried along untouched.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -102,20 +103,39 @@ def rule_value(rule: str) -> Column:
     return F.when(F.col("n_words") > 0, F.expr(RULES[rule])).otherwise(F.lit(0.0))
 
 
-def lower_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X binomial with ``n`` trials of probability ``p``, summed in logarithms."""
-    first = n * F.log1p(F.lit(-p))
-    start = F.struct(first.alias("term"), first.alias("sum"))
+def log_factorial(n: Column) -> Column:
+    """ln n!, by Stirling's series beyond 64, where its next term is below 1e-15."""
+    x = n.cast("double")
+    small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(65)])
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
+    large = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series
+    return F.when(x <= 64, F.get(small, n.cast("int"))).otherwise(large)
+
 
-    def add(acc: Column, i: Column) -> Column:
-        term = acc["term"] + F.log((n - i + 1) / i * F.lit(p / (1 - p)))
-        high, low = F.greatest(acc["sum"], term), F.least(acc["sum"], term)
-        return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("sum"))
+def lower_tail(k: Column, n: Column, p: float) -> Column:
+    """P(X <= k) for X binomial with ``n`` trials of probability ``p``, where ``k < n * p``.
 
-    steps = F.when(k > 0, F.sequence(F.lit(1), F.greatest(k, F.lit(1)).cast("int"))).otherwise(
+    The largest term is the last, and going down each is ``i / (n - i + 1) * (1 - p) / p`` of
+    the one above, a ratio below 1 that falls. Terms are summed relative to the last one, over as
+    many steps as can change a double: with a first ratio of ``1 - gap`` terms shrink by
+    ``exp(-40)`` within ``40 / gap`` steps, and by as much within ``9 * sqrt(n * p)`` steps.
+    """
+    k, n = k.cast("double"), n.cast("double")
+    last = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p)
+    odds = (1 - p) / p
+    gap = 1 - k / (n - k + 1) * odds
+    reach = F.least(k, F.ceil(F.least(F.try_divide(F.lit(40.0), F.greatest(gap, F.lit(1e-12))), 9 * F.sqrt(n * p) + 9)))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add(acc: Column, s: Column) -> Column:
+        i = k - s + 1  # from the term of i to that of i - 1
+        term = acc["term"] * i / (n - i + 1) * odds
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    steps = F.when(reach > 0, F.sequence(F.lit(1), F.greatest(reach, F.lit(1)).cast("int"))).otherwise(
         F.array().cast("array<int>")
     )
-    return F.exp(F.aggregate(steps, start, add)["sum"])
+    return F.exp(last) * F.aggregate(steps, start, add)["sum"]
 
 
 def choose_cutoffs(statistics: DataFrame, labels: DataFrame, control: RiskControl = RiskControl()) -> DataFrame:
