@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from topicloom.llm.common import Spans, byte_set, column, lower_bytes, slices
-from topicloom.llm.labelled import label_sample, labelled_texts
+from topicloom.llm.labelled import label_sample, labelled_texts, one_row
 
 _SYMBOLS = byte_set(b"#*$%&|<>@^~=_+{}[]\\/")
 _MARKS = byte_set(b"!?")
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2,
     made = labelled_texts(_with_length(docs), sample, "text", "n_chars").mapInArrow(
         features, "doc_id bigint, y int, features binary"
     )
-    rows = made.toArrow().sort_by("doc_id")
+    rows = one_row(made, "features").toArrow().sort_by("doc_id")
     documents = []
     for packed, y in zip(rows.column("features").to_pylist(), rows.column("y").to_pylist()):
         ids = np.frombuffer(packed, "<u4").astype(np.int64)

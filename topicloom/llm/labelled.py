@@ -26,6 +26,17 @@ def labelled_texts(docs: DataFrame, sample: DataFrame, *columns: str) -> DataFra
     return docs.select("doc_id", *columns).join(F.broadcast(sample), "doc_id")
 
 
+def one_row(made: DataFrame, *columns: str) -> DataFrame:
+    """``(doc_id, y)`` and ``columns``, which are binaries, of one row of each id.
+
+    Of rows that repeat an id the smallest by its ``columns`` stays, so that the rows are bounded
+    by the sample as well as the ids. They are merged where they are made before they are shuffled.
+    """
+    return made.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct(*columns)).alias("row")).select(
+        "doc_id", "y", *[F.col(f"row.{c}").alias(c) for c in columns]
+    )
+
+
 def adagrad(value, total, grad, rate):
     """One step of a parameter array in place."""
     total += grad * grad

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from topicloom.llm.common import Spans, byte_set, column, lower_bytes, slices
-from topicloom.llm.labelled import adagrad, label_sample, labelled_texts
+from topicloom.llm.labelled import adagrad, label_sample, labelled_texts, one_row
 
 _LETTERS = byte_set(bytes([*b"abcdefghijklmnopqrstuvwxyz0123456789'", *range(128, 256)]))
 _ENDS = byte_set(b".!?\n")
@@ -99,7 +99,7 @@ def fit(documents: list[tuple[np.ndarray, np.ndarray, int]], how: ToxicityFit) -
     documents = [d for d in documents if len(d[1])]
     weights, known = _first_weights(documents, how)
     # features that aren't learned share one slot, whose weight stays 0
-    documents = [(np.where(known[f], f, how.buckets), s, y) for f, s, y in documents]
+    documents = [(np.where(known[f], f, how.buckets).astype(np.int32), s, y) for f, s, y in documents]
     totals, bias, total = np.zeros(how.buckets + 1), np.array([how.start]), np.zeros(1)
     order = np.random.default_rng(7)
     for _ in range(how.epochs if documents else 0):
@@ -143,8 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 3, held_out: int = 1,
     made = labelled_texts(docs, sample, "text").mapInArrow(
         features, "doc_id bigint, y int, features binary, sizes binary"
     )
-    rows = made.toArrow().sort_by("doc_id")
-    unpack = lambda x: np.frombuffer(x, "<u4").astype(np.int64)
+    rows = one_row(made, "features", "sizes").toArrow().sort_by("doc_id")
+    unpack = lambda x: np.frombuffer(x, "<i4")
     return fit(
         [
             (unpack(f), unpack(s), y)
