@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm_samples import SMALL
 from oracle import connect, differences
-from topicloom.llm import katz, licences, near_duplicates, nearest, quality_rules, url_trust
+from topicloom.llm import katz, labelled, licences, near_duplicates, nearest, quality_rules, url_trust
 from topicloom.llm import queries as q
 from topicloom.llm.common import table
 
@@ -57,6 +57,51 @@ def test_near_duplicates(spark, texts, how):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
 
 
+def test_large_buckets_are_dealt_again(spark):
+    """Texts of one template that aren't linked with each other, but for some planted pairs, in buckets above the block."""
+    chance = np.random.default_rng(11)
+    rows = {}
+    for i in range(240):
+        own = [f"own{i}x{j}" for j in range(30)]
+        base = [f"base{j}" for j in range(70)]
+        at = np.sort(chance.choice(70, 30, replace=False)) if i % 2 else np.arange(40, 70)
+        rows[i] = base[: at[0]] + own[:15] + base[at[0] :] + own[15:]
+        if i % 12 == 0:
+            rows[1000 + i] = [*rows[i][:-1], "other"]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id bigint, text string")
+    sets = {i: shingles(" ".join(w), 3) for i, w in rows.items()}
+    how = near_duplicates.NearDuplicates(block=8)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, how).collect()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sorted(sets):
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i in sets}
+    assert sum(find(i) != i for i in sets) >= 20
+
+
+def test_dealing_again_is_linear(spark):
+    """A bucket dealt again holds a fixed number of copies a member, whatever its size."""
+    how = near_duplicates.NearDuplicates()
+    for n in (300, 1200):
+        texts = spark.createDataFrame(
+            [(i, " ".join([f"base{j}" for j in range(40)] + [f"own{i}x{j}" for j in range(20)])) for i in range(n)],
+            "doc_id bigint, text string",
+        )
+        members = texts.select(F.lit(7).cast("long").alias("band"), F.col("doc_id").alias("rep"))
+        dealt = near_duplicates.dealt_again(members, texts, how, 0)
+        assert dealt.count() <= how.again * n
+        assert dealt.groupBy("band").count().agg(F.max("count")).first()[0] < 0.5 * n
+
+
 def test_sketches_estimate_similarity():
     how = near_duplicates.NearDuplicates()
     chance = np.random.default_rng(3)
@@ -111,11 +156,23 @@ def test_quality_rules_match_sql(spark):
 
 
 def test_binomial_tail(spark):
-    for k, n, p in [(0, 10, 0.1), (3, 50, 0.02), (20, 400, 0.08)]:
+    for k, n, p in [(0, 10, 0.1), (3, 50, 0.1), (0, 50, 0.02), (20, 400, 0.08), (19, 1000, 0.02), (5, 1000, 0.02)]:
         got = spark.range(1).select(quality_rules.lower_tail(F.lit(k), F.lit(n), p)).first()[0]
         assert math.isclose(got, sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)), rel_tol=1e-9)
 
 
+def test_binomial_tail_of_many_labels(spark):
+    """Against a plain sum of the 40,000 largest terms, each by log-gamma."""
+    n, p = 250_000_000, 0.02
+    sd = math.sqrt(n * p * (1 - p))
+    for z in (-6.0, -2.0, -0.5):
+        k = math.floor(n * p + z * sd)
+        ways = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+        want = math.fsum(math.exp(ways(i) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k - 40_000, k + 1))
+        got = spark.range(1).select(quality_rules.lower_tail(F.lit(k), F.lit(n), p)).first()[0]
+        assert math.isclose(got, want, rel_tol=1e-5)
+
+
 def test_cutoffs_bound_false_rejection(spark):
     """300 good documents with few symbols and 100 bad ones with many; too few good ones certify nothing."""
     good = [(i, "en", 100, 500, i % 5, 0, 0, False) for i in range(300)]
@@ -140,6 +197,14 @@ def test_classifiers_on_held_out_labels(spark):
     assert toxic[toxic.toxic == 0].predicted.mean() <= 0.02
 
 
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    made = spark.range(5000).select(
+        (F.col("id") % 3).alias("doc_id"), F.lit(1).alias("y"), F.col("id").cast("string").cast("binary").alias("features")
+    )
+    rows = sorted((r.doc_id, r.y, bytes(r.features)) for r in labelled.one_row(made, "features").collect())
+    assert rows == [(0, 1, b"0"), (1, 1, b"1"), (2, 1, b"1001")]
+
+
 def test_pieces_match_the_library(spark, texts):
     import hashlib
 
