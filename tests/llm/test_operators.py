@@ -70,7 +70,7 @@ def test_large_buckets_are_dealt_again(spark):
             rows[1000 + i] = [*rows[i][:-1], "other"]
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id bigint, text string")
     sets = {i: shingles(" ".join(w), 3) for i, w in rows.items()}
-    how = near_duplicates.NearDuplicates(block=8)
+    how = near_duplicates.NearDuplicates(whole=8)
     got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, how).collect()}
     root = {i: i for i in sets}
 
@@ -99,7 +99,7 @@ def test_dealing_again_is_linear(spark):
         members = texts.select(F.lit(7).cast("long").alias("band"), F.col("doc_id").alias("rep"))
         dealt = near_duplicates.dealt_again(members, texts, how, 0)
         assert dealt.count() <= how.again * n
-        assert dealt.groupBy("band").count().agg(F.max("count")).first()[0] < 0.5 * n
+        assert dealt.groupBy("band").count().agg(F.max("count")).first()[0] < 0.8 * n
 
 
 def test_sketches_estimate_similarity():
