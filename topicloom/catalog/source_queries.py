@@ -54,20 +54,20 @@ def intermediates(spark, sf):
 @query("s05_lda_model")
 def lda_model(spark, sf):
     """Topic words of a model that was saved and loaded."""
-    with Fitted(spark, sf) as f:
-        path = shared_path(spark, "lda")
-        mo.save_lda(lda.fit_lda(f.vectors, 5), f.vocab, path)
-        model, lexicon = mo.load_lda(spark, path)
-        return lda.topic_words(model, lexicon)
+    f = Fitted(spark, sf)
+    path = shared_path(spark, "lda")
+    mo.save_lda(lda.fit_lda(f.vectors, 5), f.vocab, path)
+    model, lexicon = mo.load_lda(spark, path)
+    return lda.topic_words(model, lexicon)
 
 
 @query("s06_nmf_model")
 def nmf_model(spark, sf):
     """Topic words of a factorisation that was saved and loaded."""
-    with Fitted(spark, sf) as f:
-        path = shared_path(spark, "nmf")
-        mo.save_nmf(spark, nmf.fit_nmf(f.rows, len(f.lexicon), 5), f.lexicon, path)
-        return nmf.topic_words(spark, mo.load_nmf(spark, path, f.lexicon), f.lexicon)
+    f = Fitted(spark, sf)
+    path = shared_path(spark, "nmf")
+    mo.save_nmf(spark, nmf.fit_nmf(f.rows, len(f.lexicon), 5), f.lexicon, path)
+    return nmf.topic_words(spark, mo.load_nmf(spark, path, f.lexicon), f.lexicon)
 
 
 @query("s06_cluster_model", """SELECT topic, CAST(pos AS INTEGER) AS pos, round(avg(x), 6) AS mean FROM (
