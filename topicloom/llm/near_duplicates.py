@@ -8,20 +8,18 @@
 3. In every band bucket the smallest class is compared with the others (a star, not all
    pairs). Pairs that the sketches don't rule out are confirmed on the full sets.
 4. Links give components. Only pairs of one bucket that are still in different components
-   are left. A bucket of up to ``whole`` members is compared by sketch inside one task, for
-   which no row is copied. A larger one is dealt again by bands over further samples,
-   ``again`` copies a member, and so on for ``levels`` levels, each with stars of its own; so
-   rows grow with the members of a bucket and not with their pairs. Every member's closest pair is confirmed first,
-   as long as that gives links; at last all members with a partner that may be similar are
-   compared on their full sets. Pairs inside one component can't change it, so no link
-   between components is lost. Only a bucket that all levels leave together is compared in
-   blocks, each of bounded size.
+   are left. Buckets of more than ``whole`` members are first dealt again by bands over further
+   samples, ``again`` copies a member, for ``levels`` levels with stars of their own. This only
+   adds links early, so that less is left: it decides nothing. All pairs of every bucket that
+   are left, whatever its size, are then compared by sketch in blocks of ``whole`` a side.
+   Every member's closest pair is confirmed first; at last all members with a partner that may
+   be similar are compared on their full sets. Pairs inside one component can't change it, so no
+   link between components is lost. A bucket is one block up to ``whole`` members, for which no
+   row is copied; of ``n`` members whose pairs no link joins, each is copied ``n / whole`` times.
 
 A pair at the threshold ``t`` shares no band with probability ``(1 - t ** rows) ** bands``,
 about 1e-6 for the defaults, and a link beyond it still less; the sketch cut lies five
-standard deviations below the threshold. A bucket dealt again keeps such a pair together with
-probability ``g = 1 - (1 - t ** again_rows) ** again``, 0.98 for the defaults; the pair is then
-missed with ``(1 - g * t ** rows) ** bands``, about 1.3e-6 (7e-6 for five words).
+standard deviations below the threshold. Nothing else depends on chance or on sizes.
 
 Defined cases: null and empty texts have an empty set, which is linked with nothing; texts
 with fewer words than a shingle have one shingle; very long texts are taken whole; of equal
@@ -209,12 +207,9 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 def _dealt(members: DataFrame, payload: str, block: int) -> DataFrame:
     """Blocks of about ``block`` rows a side: members ``apart`` from their bucket's first
     class (side 0) against all members of the bucket (side 1), as sorted runs of
-    ``(band, i, j)``."""
-    sizes = members.groupBy("band").agg(
-        F.ceil(F.sum(F.col("apart").cast("int")) / block).cast("int").alias("ni"),
-        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nj"),
-    )
-    placed = members.join(sizes.where("ni > 0"), "band")
+    ``(band, i, j)``. ``n`` and ``n_apart`` are the numbers of these in the bucket."""
+    ni, nj = (F.ceil(F.col(c) / block).cast("int") for c in ("n_apart", "n"))
+    placed = members.withColumns({"ni": ni, "nj": nj})
     cell = F.xxhash64("rep")
     left = placed.where("apart").select(
         "band", F.pmod(cell, "ni").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j"),
@@ -238,37 +233,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], how: NearDuplicates):
                     yield rows, one, two
 
 
-def close_members(members: DataFrame, how: NearDuplicates, closest: bool) -> DataFrame:
-    """What the sketches of ``(band, rep, comp, sketch, apart)`` leave to be confirmed.
+def close_members(members: DataFrame, how: NearDuplicates) -> DataFrame:
+    """``(band, rep, other, bits)``: what the sketches leave to be confirmed.
 
-    With ``closest`` the closest pair ``(a, b)`` of each member that is apart; otherwise the
-    ``(band, rep)`` that have any partner in another component that may be similar.
+    Every member with a partner of its block in another component that may be similar, with the
+    closest of these. ``members`` is ``(band, rep, comp, sketch, apart, n, n_apart)``.
     """
     most, words = how.most_bits(), how.bits // 64
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, one, two in _blocks(batches, how):
             rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
+            band = rows.column("band").to_numpy()
             sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, words)
             bits = np.bitwise_count(sketch[one][:, None] ^ sketch[two][None]).sum(axis=2).astype(np.int32)
             bits = np.where(comp[one][:, None] != comp[two][None], bits, most + 1)
-            if closest:
-                q = bits.argmin(axis=1)
-                p = np.flatnonzero(bits[np.arange(len(one)), q] <= most)
-                found = [pa.array(rep[one[p]]), pa.array(rep[two[q[p]]]), pa.array(bits[p, q[p]])]
-            else:
-                near = bits <= most
-                some = np.concatenate([one[near.any(axis=1)], two[near.any(axis=0)]])
-                found = [rows.column("band").to_numpy()[some], rep[some], np.zeros(len(some), np.int32)]
-                found = [pa.array(x) for x in found]
-            if len(found[0]):
-                yield pa.RecordBatch.from_arrays(found, ["a", "b", "bits"])
+            for own, others, near in ((one, two, bits), (two, one, bits.T)):
+                best = near.argmin(axis=1)
+                least = near[np.arange(len(own)), best]
+                p = np.flatnonzero(least <= most)
+                if len(p):
+                    found = [band[own[p]], rep[own[p]], rep[others[best[p]]], least[p]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["band", "rep", "other", "bits"])
 
-    found = _dealt(members, "sketch", how.whole).mapInArrow(meet, "a bigint, b bigint, bits int")
-    if not closest:
-        return found.select(F.col("a").alias("band"), F.col("b").alias("rep")).distinct()
-    best = found.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _dealt(members, "sketch", how.whole).mapInArrow(meet, "band bigint, rep bigint, other bigint, bits int")
 
 
 def shared_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -295,7 +283,7 @@ def shared_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int
 
 
 def block_links(members: DataFrame, how: NearDuplicates) -> DataFrame:
-    """Links between components among ``(band, rep, comp, shingles, apart)``, on full sets.
+    """Links between components among ``(band, rep, comp, shingles, apart, n, n_apart)``, on full sets.
 
     Whole blocks are compared by matrix products, so no pair but a link leaves its task.
     """
@@ -341,8 +329,9 @@ def _shared(banded: DataFrame, name: str) -> DataFrame:
 
 
 def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``(band, rep, first, comp, apart, n)`` of the buckets that don't lie in the component of
-    their first class as a whole; ``n`` is the number of members."""
+    """``(band, rep, first, comp, apart, n, n_apart)`` of the buckets that don't lie in the
+    component of their first class as a whole; ``n`` is the number of members, ``n_apart`` that
+    of the members in other components."""
     apart = (
         members.select("band", "rep", "first")
         .join(comps, "rep", "left")
@@ -352,8 +341,8 @@ def _open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
             (F.coalesce("comp", "rep") != F.coalesce("first_comp", "first")).alias("apart"),
         )
     )
-    undone = apart.groupBy("band").agg(F.max("apart").alias("undone"), F.count(F.lit(1)).alias("n"))
-    return apart.join(undone.where("undone and n > 1").select("band", "n"), "band")
+    sizes = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("n_apart"))
+    return apart.join(sizes.where("n_apart > 0 and n > 1"), "band")
 
 
 def dealt_again(members: DataFrame, texts: DataFrame, how: NearDuplicates, level: int) -> DataFrame:
@@ -386,6 +375,13 @@ def star_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, how: N
     return stored(confirmed(near, texts, how), "star_links")
 
 
+def _same_ids(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of ids that are repeated with different sets to the classes of these."""
+    twice = found.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
+    keys = found.join(twice.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), "set_key")
+    return keys.join(classes.select("set_key", F.col("rep").alias("b")), "set_key").where("a != b").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, how: NearDuplicates = NearDuplicates()) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row of ``(doc_id, text)``."""
     signed = stored(signatures(docs, how), "signatures")
@@ -409,36 +405,29 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates = NearDuplicates()) ->
         ),
         "compared_texts",
     )
-    links = star_links(members, sketches, texts, how)
+    links = star_links(members, sketches, texts, how).unionByName(_same_ids(found, classes))
     comps = _components(links)
-    small, level = [], 0
-    while True:
-        left = stored(_open_members(members, comps), "open_buckets")
-        large = left.where(F.col("n") > how.whole)
-        if level == how.levels or large.isEmpty():
-            small.append(left)
-            break
-        small.append(left.where(F.col("n") <= how.whole))
-        members, level = dealt_again(large, texts, how, level), level + 1
-        links = links.unionByName(star_links(members, sketches, texts, how))
+    left = stored(_open_members(members, comps), "open_buckets")
+    large, level = left.where(F.col("n") > how.whole), 0
+    while level < how.levels and not large.isEmpty():
+        # only for more links before all pairs of the buckets are compared
+        again, level = dealt_again(large, texts, how, level), level + 1
+        links = links.unionByName(star_links(again, sketches, texts, how))
         comps = _components(links)
-    members = small[0]
-    for part in small[1:]:
-        members = members.unionByName(part)
-
-    # the closest pairs first, as long as they give links: these join most of what belongs
-    # together before all that is left is compared
-    more = True
-    while more:
-        open_members = stored(_open_members(members, comps).drop("first", "n").join(sketches, "rep"), "open_members")
-        found = stored(confirmed(close_members(open_members, how, closest=True), texts, how), "closest_links")
-        more = not found.isEmpty()
-        if more:
-            links = links.unionByName(found)
-            comps = _components(links)
-    near = stored(close_members(open_members, how, closest=False), "close_members")
-    sets = shingle_sets(texts.join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), how)
-    compared = open_members.drop("sketch").join(near, ["band", "rep"], "left_semi").join(sets, "rep")
+        large = stored(_open_members(again, comps), "open_again").where(F.col("n") > how.whole)
+    if level:
+        left = stored(_open_members(left, comps), "open_buckets")
+
+    # the closest pairs first: these join most of what belongs together before all that is left
+    # is compared
+    close = stored(close_members(left.drop("first").join(sketches, "rep"), how), "close_members")
+    best = close.groupBy("rep").agg(F.min(F.struct("bits", "other")).alias("x")).select("rep", "x.other")
+    pairs = best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    links = links.unionByName(stored(confirmed(pairs, texts, how), "closest_links"))
+    near = close.select("band", "rep").distinct()
+    compared = stored(_open_members(left.join(near, ["band", "rep"], "left_semi"), _components(links)), "still_open")
+    asked = texts.join(compared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    compared = compared.drop("first").join(shingle_sets(asked, how), "rep")
     comps = _components(links.unionByName(stored(block_links(compared, how), "block_links")))
 
     # rows whose component isn't their own id by default: copies of a class, and linked classes
