@@ -112,3 +112,17 @@ def test_shares_are_read_alone(spark, planted):
         ol.update_sums = plain
     assert len(counts) == 8 and sum(counts) == 2 * rows.count()
     assert ol.fit_many(rows.limit(0), len(lexicon), [2], passes=2)[2].trace == []
+
+
+def test_topics_of_a_document_do_not_depend_on_its_slice():
+    """A document that takes long to settle doesn't change what others get."""
+    chance = np.random.default_rng(5)
+    shares, prior = chance.gamma(0.3, 1.0, (40, 4)) + 1e-3, np.full(4, 0.25)
+    lengths = chance.integers(1, 30, 60)
+    terms = np.concatenate([chance.choice(40, n, replace=False) for n in lengths])
+    counts, bounds = chance.integers(1, 60, len(terms)).astype(float), np.concatenate([[0], np.cumsum(lengths)])
+    together = ol.row_topics(counts, terms, bounds, shares, prior)
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        alone = ol.row_topics(counts[a:b], terms[a:b], np.array([0, b - a]), shares, prior)
+        assert together[0][i] == pytest.approx(alone[0][0], rel=1e-9)
+        assert together[1][a:b] == pytest.approx(alone[1], rel=1e-9)

@@ -107,17 +107,27 @@ def row_topics(
     ``norms`` its likelihood. Documents start with even weights, so a result depends on nothing
     but the document and the model.
     """
-    starts, of = bounds[:-1], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    own = shares[terms]
-    gamma = prior + (np.add.reduceat(counts, starts) / len(prior))[:, None]
+    lengths = np.diff(bounds)
+    of, own = np.repeat(np.arange(len(lengths)), lengths), shares[terms]
+    gamma = prior + (np.add.reduceat(counts, bounds[:-1]) / len(prior))[:, None]
+    # documents leave once they are settled, so that a slow one doesn't hold up its slice
+    live, done = np.arange(len(lengths)), np.zeros(len(lengths), bool)
+    mine, n, at, starts, now = own, counts, of, bounds[:-1], gamma.copy()
     for _ in range(steps):
-        theta = np.exp(expected_logs(gamma))
-        norms = (theta[of] * own).sum(axis=1) + TINY
-        after = prior + theta * np.add.reduceat(own * (counts / norms)[:, None], starts, axis=0)
-        change = np.abs(after - gamma).mean(axis=1).max()
-        gamma = after
-        if change < least_change:
+        theta = np.exp(expected_logs(now))
+        norms = np.einsum("ij,ij->i", theta[at], mine) + TINY
+        after = prior + theta * np.add.reduceat(mine * (n / norms)[:, None], starts, axis=0)
+        gamma[live[~done]] = after[~done]
+        done |= np.abs(after - now).mean(axis=1) < least_change
+        now = after
+        if done.all():
             break
+        if done.mean() > 0.25:
+            kept = ~done
+            entries = kept[at]
+            mine, n, live, now = mine[entries], n[entries], live[kept], now[kept]
+            at = np.repeat(np.arange(len(live)), lengths[live])
+            starts, done = np.cumsum(lengths[live]) - lengths[live], np.zeros(len(live), bool)
     theta = np.exp(expected_logs(gamma))
     parts = theta[of] * own
     norms = parts.sum(axis=1) + TINY
