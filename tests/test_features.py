@@ -66,3 +66,18 @@ def test_feature_tables_by_weighting(docs):
 def test_same_vocabulary_in_every_run(docs):
     first = fe.Lexicon.of(fe.vocabulary(docs, 1, 1.0))
     assert first == fe.Lexicon.of(fe.vocabulary(docs.repartition(5), 1, 1.0))
+
+
+def test_queries_that_read_tokens_repeatedly_prepare_them_once(spark, tmp_path):
+    """Their rows come from written tokens, not from the texts again."""
+    from topicloom.catalog import load_queries
+    from topicloom.catalog.base import QUERIES
+
+    load_queries()
+    rows = [(i, f"apples {'pears ' * (i % 3)} plums{'x' * (i % 2)}", "web", "en") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("v05_bow_features", "v08_tfidf", "v11_nested_rows", "v14_weighting_switch", "m15_hash_embedding"):
+        found = QUERIES[name](spark, str(tmp_path))
+        assert found.count() > 0
+        assert not any("documents.parquet" in path for path in found.inputFiles())
