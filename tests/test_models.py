@@ -227,15 +227,15 @@ def test_density_topics_do_not_depend_on_the_number_of_documents(spark, n):
     assert np.mean(topic[group == -1] == -1) >= 0.75
 
 
-def test_fits_keep_no_rows_on_executors(spark, tmp_path):
-    """A fit goes on from written vectors without texts or tokens; nothing is cached beside them."""
+def test_fits_keep_no_rows_in_memory(spark, tmp_path):
+    """A fit goes on from vectors without texts or tokens, on disk."""
     rows = [(i, " ".join(tokens), "web", "en") for i, tokens, _ in topic_corpus(k=2, docs=20)]
     docs = spark.createDataFrame([*rows, (-1, None, "web", "en")], "doc_id long, text string, source string, lang string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     cached = set(spark.sparkContext._jsc.getPersistentRDDs())
-    f = Fitted(spark, str(tmp_path))
-    assert f.docs.columns == ["id", "tokens"] and f.vectors.columns == ["id", "features"]
-    assert f.vectors.count() == f.docs.count() == len(rows)
-    nmf.fit_many(f.rows, len(f.lexicon), [2], max_iter=1)
+    with Fitted(spark, str(tmp_path)) as f:
+        assert f.docs.columns == ["id", "tokens"] and f.vectors.columns == ["id", "features"]
+        assert f.vectors.count() == f.docs.count() == len(rows)
+        assert not any(df.storageLevel.useMemory for df in (f.docs, f.vectors))
+        nmf.fit_many(f.rows, len(f.lexicon), [2], max_iter=1)
     assert set(spark.sparkContext._jsc.getPersistentRDDs()) == cached
-    assert "InMemoryRelation" not in f.vectors._jdf.queryExecution().toString()
