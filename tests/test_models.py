@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from planted import adjusted_rand, topic_corpus, vector_groups
-from topicloom.catalog.base import Fitted
+from topicloom.catalog.base import Fitted, processed
 from topicloom.config import TopicConfig
 from topicloom.operators import alignment as al, clusters as cl, coherence as ch, features as fe, lda, nmf, topics as tp
 from topicloom.sources import models as mo
@@ -239,3 +239,16 @@ def test_fits_keep_no_rows_in_memory(spark, tmp_path):
         assert not any(df.storageLevel.useMemory for df in (f.docs, f.vectors))
         nmf.fit_many(f.rows, len(f.lexicon), [2], max_iter=1)
     assert set(spark.sparkContext._jsc.getPersistentRDDs()) == cached
+
+
+def test_fits_keep_no_blocks_on_executors(spark, tmp_path):
+    """While a fit runs, its rows are in no executor's store, and in the partitions they were made in."""
+    rows = [(i, " ".join(tokens), "web", "en") for i, tokens, _ in topic_corpus(k=2, docs=20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = [[r["id"] for r in part] for part in processed(spark, str(tmp_path)).select("id").rdd.glom().collect()]
+    cached = set(spark.sparkContext._jsc.getPersistentRDDs())
+    with Fitted(spark, str(tmp_path)) as f:
+        for df in (f.docs, f.vectors):
+            assert [[r["id"] for r in part] for part in df.select("id").rdd.glom().collect()] == ids
+        assert set(spark.sparkContext._jsc.getPersistentRDDs()) == cached
