@@ -157,3 +157,18 @@ def test_lemma_table_moves_no_text(spark):
     df = spark.createDataFrame([(1, ["cats"])], "id long, tokens array<string>")
     table = spark.createDataFrame([("cats", "cat")], "token string, lemma string")
     assert "Exchange" not in lemmatize_with(df, table)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_split_where_they_are_cleaned(spark):
+    """Preparing a text in one go gives the tokens of its single steps, and splits it without writing a cleaned copy."""
+    texts = [
+        "", None, "...", " --Cells, cells; GENES!! ", "cannot stop: the cannots gotta go", "we saw a2b and 42 x9s, http://cannot.org",
+        "mail me@cannot.org now", "Été naïve İstanbul", "tab\tand\nline", "gonna-wanna (lemme)",
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, t string")
+    for unicode in (False, True):
+        steps = text.filter_tokens(text.lemmatize(text.tokenize(text.clean_text("t", unicode))))
+        whole = df.select("id", text.preprocess_tokens("t", unicode=unicode).alias("got"), steps.alias("want"))
+        assert all(r["got"] == r["want"] for r in whole.collect())
+    plan = df.select(text.preprocess_tokens("t"))._jdf.queryExecution().analyzed().toString()
+    assert r"\P{Alnum}+, -1)" in plan and "translate(" not in plan
