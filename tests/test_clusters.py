@@ -201,3 +201,34 @@ def test_fifty_thousand_centroids(spark):
     x = centres[chance.permutation(50_000)[:300]]
     rows = cl.nearest_topics(coords_of(spark, x), centres.tolist(), 5).collect()
     assert all(np.allclose(centres[r["topics"][0]["topic"]], x[r["id"]]) and len(r["topics"]) == 5 for r in rows)
+
+
+def test_nearest_partners_in_shares_of_terms(spark, monkeypatch):
+    """Terms are dealt into shares, none of which gets all rows of a pair of blocks; partners stay the same."""
+    rng = np.random.default_rng(5)
+    rows = [(t, f"w{w}", float(rng.random())) for t in range(12) for w in rng.choice(400, 60, replace=False)]
+    rows += [(20, "alone", 1.0)]
+    weights = spark.createDataFrame(rows, "topic long, term string, weight double")
+    whole = {tuple(r) for r in cl.nearest_partners(weights).collect()}
+    names = sorted({t for t, _, _ in rows})
+    dense = np.zeros((len(names), 401))
+    for t, w, x in rows:
+        dense[names.index(t), int(w[1:]) if w != "alone" else 400] = x
+    unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
+    cosine = np.round(unit @ unit.T, 12)
+    np.fill_diagonal(cosine, -2)
+    assert {(t, names[int(cosine[i].argmax())], round(float(cosine[i].max()), 10)) for i, t in enumerate(names)} == {
+        (t, p, round(c, 10)) for t, p, c in whole
+    }
+    sizes = spark.sparkContext.accumulator(0)
+    plain = cl._block_products
+
+    def counted(part):
+        assert part.num_rows < len(rows)
+        sizes.add(1)
+        return plain(part)
+
+    monkeypatch.setattr(cl, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(cl, "_block_products", counted)
+    assert {(t, p, round(c, 10)) for t, p, c in cl.nearest_partners(weights).collect()} == {(t, p, round(c, 10)) for t, p, c in whole}
+    assert sizes.value > 5
