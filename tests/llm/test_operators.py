@@ -173,6 +173,29 @@ def test_katz(spark, texts):
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
 
 
+def test_katz_asks_for_the_counts_of_many_pairs_at_once(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    chunks = katz._chunks(docs.withColumn("learn", F.lit(True)))
+    asks = katz._asks(chunks, 24, True)
+    # a row for each chunk and part, where a row for each pair of a document took several times the input
+    assert asks.count() <= 3 * 24
+    tokens = sum(len(words(t)) + 1 for t in texts.values())
+    assert asks.agg(F.sum(F.octet_length("keys"))).first()[0] < 8 * tokens
+    values = np.array([0, 5, 2**40, 2**64 - 1], np.uint64)
+    assert katz.unpacked(katz.packed(values), 4).tolist() == values.tolist()
+
+
+def test_katz_scores_by_a_stored_model(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    model = katz.train(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 1).select("text"))
+    assert model.tokens == katz.fold_scores(docs).first()["train_tokens"]
+    found = {r.doc_id: r for r in katz.score(docs, model).collect()}
+    for r in katz.fold_scores(docs).collect():
+        same = found[r.doc_id]
+        assert (same.n_tokens, same.n_known) == (r.n_tokens, r.n_known)
+        assert math.isclose(same.score, r.score, rel_tol=1e-9) and math.isclose(same.base_score, r.base_score, rel_tol=1e-9)
+
+
 def test_quality_rules_match_sql(spark):
     name = "op7_quality_rules"
     assert differences(spark, connect(SMALL), q.QUERIES[name], q.ORACLES[name], SMALL) == []
