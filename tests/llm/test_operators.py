@@ -365,6 +365,16 @@ def test_packing_matches_the_tokenizer(spark, texts):
         assert at == len(ids)
 
 
+def test_packing_takes_white_space_of_any_length():
+    from tokenizers import Tokenizer
+
+    from topicloom.llm import packing
+
+    tokenizer, ids = Tokenizer.from_file(q.BYTE_BPE.tokenizer), packing._encoder(q.BYTE_BPE)
+    for text in ("a  b", "\n\nb", " \t\r\n 's  ", "a \n\n1 \n", "a" + " " * 1_500_000 + "b" + "\n" * 1_500_000):
+        assert ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_trust_follows_links_and_distrust_comes_back(spark):
     pages = spark.createDataFrame(
         [(1, "http://good.org/a", '<a href="https://Friend.net/x">'), (2, "http://friend.net/", "<img src=//pal.net/i>"),
