@@ -365,6 +365,23 @@ def test_packing_matches_the_tokenizer(spark, texts):
         assert at == len(ids)
 
 
+def test_components_take_no_round_for_stars_and_go_on_from_known_ones(spark, monkeypatch):
+    from topicloom.llm import components as co
+
+    written, stored = [], co.stored
+    monkeypatch.setattr(co, "stored", lambda df, name: written.append(name) or stored(df, name))
+    links = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    stars = [(1, 5), (7, 1), (2, 9), (9, 2), (3, 4)]
+    roots = co.components(links(stars))
+    assert {(r.node, r.root) for r in roots.collect()} == {(5, 1), (7, 1), (9, 2), (4, 3)}
+    assert "star_round" not in written
+    more = [(9, 7), (4, 20), (30, 31), (31, 32), (5, 1)]
+    joined = {(r.node, r.root) for r in co.with_links(roots, links(more)).collect()}
+    assert joined == {(2, 1), (5, 1), (7, 1), (9, 1), (4, 3), (20, 3), (31, 30), (32, 30)}
+    assert joined == {(r.node, r.root) for r in co.components(links(stars + more)).collect()}
+    assert co.with_links(roots, links([])).count() == 4 and co.components(links([])).count() == 0
+
+
 def test_packing_takes_white_space_of_any_length():
     from tokenizers import Tokenizer
 

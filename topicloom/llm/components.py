@@ -30,19 +30,37 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return met.distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one other, and none that others hang on hangs itself."""
+    ends = edges.select(F.col("node").alias("x"), F.lit(1).alias("lows"), F.lit(False).alias("holds")).unionByName(
+        edges.select(F.col("low").alias("x"), F.lit(0).alias("lows"), F.lit(True).alias("holds"))
+    )
+    met = ends.groupBy("x").agg(F.sum("lows").alias("lows"), F.bool_or("holds").alias("holds"))
+    return not met.agg(F.bool_or((F.col("lows") > 1) | ((F.col("lows") > 0) & F.col("holds")))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` of all but the smallest node of every component; root is the smallest.
 
     ``links`` is ``(a, b)`` with ``a != b``. The number of rounds grows with the logarithm
-    of the longest path; every round is written to the shared folder.
+    of the longest path; every round is written to the shared folder. Links that are stars
+    already take none.
     """
     edges = stored(
         links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low")).distinct(), "links"
     )
-    before = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return edges.select("node", F.col("low").alias("root"))
-        before = state
+    while not _are_stars(edges):
         edges = stored(_stars(_stars(edges, large=True), large=False), "star_round")
+    return edges.select("node", F.col("low").alias("root"))
+
+
+def with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``(node, root)`` of :func:`components` after more links: components are joined as a whole,
+    so a round takes no more rows than there are links between different ones."""
+    for side in ("a", "b"):
+        of_side = roots.select(F.col("node").alias(side), F.col("root").alias("to"))
+        links = links.join(of_side, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
+    joined = components(links.where("a != b"))
+    to = joined.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return stored(moved.unionByName(joined), "joined_components")

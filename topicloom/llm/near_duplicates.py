@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from topicloom.llm.common import Spans, column, lower_bytes, mixed, slices, stored
-from topicloom.llm.components import components
+from topicloom.llm.components import components, with_links
 from topicloom.runtime import salted_join
 
 _ODD = np.random.default_rng(20240501).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -316,9 +316,17 @@ def shingle_sets(texts: DataFrame, how: NearDuplicates) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(make, "rep bigint, shingles array<bigint>")
 
 
-def _components(links: DataFrame) -> DataFrame:
-    """``(rep, comp)`` of every class with a link, but for the first of its component."""
-    return components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
+def _components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``(rep, comp)`` of every class with a link, but for the first of its component.
+
+    ``before`` are the components without these ``links``, which are written rows then."""
+    if before is not None and links.isEmpty():
+        return before
+    if before is not None:
+        roots = with_links(before.select(F.col("rep").alias("node"), F.col("comp").alias("root")), links)
+    else:
+        roots = components(links)
+    return roots.select(F.col("node").alias("rep"), F.col("root").alias("comp"))
 
 
 def _shared(banded: DataFrame, name: str) -> DataFrame:
@@ -412,8 +420,7 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates = NearDuplicates()) ->
     while level < how.levels and not large.isEmpty():
         # only for more links before all pairs of the buckets are compared
         again, level = dealt_again(large, texts, how, level), level + 1
-        links = links.unionByName(star_links(again, sketches, texts, how))
-        comps = _components(links)
+        comps = _components(star_links(again, sketches, texts, how), comps)
         large = stored(_open_members(again, comps), "open_again").where(F.col("n") > how.whole)
     if level:
         left = stored(_open_members(left, comps), "open_buckets")
@@ -423,12 +430,12 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates = NearDuplicates()) ->
     close = stored(close_members(left.drop("first").join(sketches, "rep"), how), "close_members")
     best = close.groupBy("rep").agg(F.min(F.struct("bits", "other")).alias("x")).select("rep", "x.other")
     pairs = best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-    links = links.unionByName(stored(confirmed(pairs, texts, how), "closest_links"))
+    comps = _components(stored(confirmed(pairs, texts, how), "closest_links"), comps)
     near = close.select("band", "rep").distinct()
-    compared = stored(_open_members(left.join(near, ["band", "rep"], "left_semi"), _components(links)), "still_open")
+    compared = stored(_open_members(left.join(near, ["band", "rep"], "left_semi"), comps), "still_open")
     asked = texts.join(compared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     compared = compared.drop("first").join(shingle_sets(asked, how), "rep")
-    comps = _components(links.unionByName(stored(block_links(compared, how), "block_links")))
+    comps = _components(stored(block_links(compared, how), "block_links"), comps)
 
     # rows whose component isn't their own id by default: copies of a class, and linked classes
     special = (
