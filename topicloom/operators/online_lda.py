@@ -16,12 +16,13 @@ topics.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,11 +31,17 @@ from topicloom.operators import topics
 from topicloom.operators.coherence import topic_coherence
 from topicloom.operators.features import Lexicon
 from topicloom.operators.nmf import _slices
-from topicloom.runtime import shared_path
+from topicloom.runtime import array_sums, shared_path
 
 #: Steps for the topic shares of a document, and the mean change at which they end.
 ROW_STEPS, ROW_CHANGE = 50, 1e-3
 
+#: Steps where nothing but the change ends them.
+ANY_STEPS = 10**9
+
+#: Cells of terms x topics handled at a time, and sparse entries of the slice they are picked from.
+BLOCK_CELLS, SLICE_ENTRIES = 512_000, 1_000_000
+
 #: How fast updates lose weight: (OFFSET + update) ** -DECAY.
 OFFSET, DECAY = 1.0, 0.5
 
@@ -91,7 +98,38 @@ def expected_logs(weights: np.ndarray) -> np.ndarray:
     return digamma(weights) - digamma(weights.sum(axis=1, keepdims=True))
 
 
-def row_topics(
+def _exp_digamma(x: np.ndarray) -> np.ndarray:
+    """Exponential of ``digamma``, with one division for six steps up to where its series is good."""
+    y = x * (x + 5)
+    a, b = y + 4, y + 6
+    ya = y * a
+    steps = (2 * x + 5) * (a * b + y * b + ya) / (ya * b)
+    z = x + 6
+    r = 1 / z
+    s = r * r
+    series = s * (1 / 12 - s * (1 / 120 - s * (1 / 252 - s * (1 / 240 - s * (1 / 132 - s * (691 / 32760 - s / 12))))))
+    return z * np.exp(-(steps + 0.5 * r + series))
+
+
+def _topic_shares(gamma: np.ndarray) -> np.ndarray:
+    """Exponentials of ``expected_logs``."""
+    both = _exp_digamma(np.concatenate([gamma, gamma.sum(axis=1, keepdims=True)], axis=1))
+    return both[:, :-1] / both[:, -1:]
+
+
+def _blocks(lengths: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """Documents of about the same length, filled up to ``BLOCK_CELLS`` cells of terms x topics."""
+    order = np.argsort(lengths, kind="stable")
+    ordered, first = lengths[order], 0
+    while first < len(order):
+        widest = max(int(ordered[first] * 1.25), int(ordered[first]) + 8)
+        last = int(np.searchsorted(ordered, widest, side="right"))
+        last = min(last, first + max(1, BLOCK_CELLS // (k * widest)))
+        yield order[first:last]
+        first = last
+
+
+def settle(
     counts: np.ndarray,
     terms: np.ndarray,
     bounds: np.ndarray,
@@ -99,111 +137,141 @@ def row_topics(
     prior: np.ndarray,
     steps: int = ROW_STEPS,
     least_change: float = ROW_CHANGE,
+    start: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(gamma, parts, norms)`` of a slice of documents, none of them empty.
+    """``(gamma, theta, norms)`` of a slice of documents, none of them empty.
 
     ``shares`` is vocabulary x topics, exponentials of expected logarithms. ``gamma`` holds the
-    topic weights of the documents, ``parts`` how every entry's count falls on topics, and
-    ``norms`` its likelihood. Documents start with even weights, so a result depends on nothing
-    but the document and the model.
+    topic weights of the documents, ``theta`` the exponentials of their expected logarithms, and
+    ``norms`` the likelihood of every entry. Documents start with even weights or from ``start``,
+    so a result depends on nothing but the document and the model.
+
+    Documents of about the same length are settled together, as products of small matrices
+    padded with counts of zero.
     """
-    lengths = np.diff(bounds)
-    of, own = np.repeat(np.arange(len(lengths)), lengths), shares[terms]
-    gamma = prior + (np.add.reduceat(counts, bounds[:-1]) / len(prior))[:, None]
-    # documents leave once they are settled, so that a slow one doesn't hold up its slice
-    live, done = np.arange(len(lengths)), np.zeros(len(lengths), bool)
-    mine, n, at, starts, now = own, counts, of, bounds[:-1], gamma.copy()
-    for _ in range(steps):
-        theta = np.exp(expected_logs(now))
-        norms = np.einsum("ij,ij->i", theta[at], mine) + TINY
-        after = prior + theta * np.add.reduceat(mine * (n / norms)[:, None], starts, axis=0)
-        gamma[live[~done]] = after[~done]
-        done |= np.abs(after - now).mean(axis=1) < least_change
-        now = after
-        if done.all():
-            break
-        if done.mean() > 0.25:
-            kept = ~done
-            entries = kept[at]
-            mine, n, live, now = mine[entries], n[entries], live[kept], now[kept]
-            at = np.repeat(np.arange(len(live)), lengths[live])
-            starts, done = np.cumsum(lengths[live]) - lengths[live], np.zeros(len(live), bool)
-    theta = np.exp(expected_logs(gamma))
-    parts = theta[of] * own
-    norms = parts.sum(axis=1) + TINY
-    return gamma, parts * (counts / norms)[:, None], norms
-
-
-def _bound(gamma: np.ndarray, prior: np.ndarray, counts: np.ndarray, norms: np.ndarray) -> float:
-    """Variational bound of the documents of a slice, without the topics' own part."""
+    k, lengths, table = len(prior), np.diff(bounds), np.ascontiguousarray(shares.T)
+    gamma, theta, norms = np.empty((len(lengths), k)), np.empty((len(lengths), k)), np.empty(len(counts))
+    gamma[:] = prior + (np.add.reduceat(counts, bounds[:-1]) / k)[:, None] if start is None else start
+    for docs in _blocks(lengths, k):
+        places = np.arange(lengths[docs[-1]])
+        inside = places < lengths[docs][:, None]
+        at = bounds[docs][:, None] + np.where(inside, places, 0)
+        own, n = table[:, terms[at]], np.where(inside, counts[at], 0.0)
+        # documents leave once they are settled, so that a slow one doesn't hold up its block
+        live, done = np.arange(len(docs)), np.zeros(len(docs), bool)
+        mine, left, now, found = own, n, gamma[docs], np.empty((len(docs), k))
+        for _ in range(steps):
+            part = _topic_shares(now)
+            weights = mine.transpose(1, 0, 2)
+            whole = np.matmul(part[:, None, :], weights)[:, 0] + TINY
+            after = prior + part * np.matmul(weights, (left / whole)[:, :, None])[:, :, 0]
+            found[live[~done]] = after[~done]
+            done |= ~(np.abs(after - now).mean(axis=1) > least_change)
+            now = after
+            if done.all():
+                break
+            if done.mean() > 0.25:
+                kept = ~done
+                mine, left, live, now = mine[:, kept], left[kept], live[kept], now[kept]
+                done = np.zeros(len(live), bool)
+        gamma[docs], theta[docs] = found, _topic_shares(found)
+        norms[at[inside]] = (np.matmul(theta[docs][:, None, :], own.transpose(1, 0, 2))[:, 0] + TINY)[inside]
+    return gamma, theta, norms
+
+
+def row_topics(
+    counts: np.ndarray, terms: np.ndarray, bounds: np.ndarray, shares: np.ndarray, prior: np.ndarray, **steps
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(gamma, parts, norms)`` of a slice of documents, see ``settle``; ``parts`` is how every
+    entry's count falls on topics."""
+    gamma, theta, norms = settle(counts, terms, bounds, shares, prior, **steps)
+    return gamma, np.repeat(theta, np.diff(bounds), axis=0) * shares[terms] * (counts / norms)[:, None], norms
+
+
+def _bounds(gamma: np.ndarray, prior: np.ndarray, counts: np.ndarray, norms: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Variational bound of each document of a slice, without the topics' own part."""
     logs = expected_logs(gamma)
-    whole = (counts * np.log(norms)).sum() + ((prior - gamma) * logs).sum() + (log_gamma(gamma) - log_gamma(prior)).sum()
-    return float(whole + (log_gamma(prior.sum()) - log_gamma(gamma.sum(axis=1))).sum())
+    whole = np.add.reduceat(counts * np.log(norms), bounds[:-1])
+    whole = whole + ((prior - gamma) * logs).sum(axis=1) + (log_gamma(gamma) - log_gamma(prior)).sum(axis=1)
+    return whole + log_gamma(prior.sum()) - log_gamma(gamma.sum(axis=1))
 
 
 def _filled(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """``(rows, counts, terms, bounds)`` of slices without their empty documents."""
-    for low, _, counts, terms, bounds in _slices(batch):
+    for low, _, counts, terms, bounds in _slices(batch, SLICE_ENTRIES):
         some = np.flatnonzero(np.diff(bounds))
         if len(some):
             yield low + some, counts, terms, np.append(bounds[:-1][some], bounds[-1])
 
 
-#: Numbers of the rows that hold sums over documents in place of terms.
-_LOGS, _BOUND, _TOKENS, _DOCS = -1, -2, -3, -4
+def _without_repeats(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Rows that follow each other with the same ``row`` are one, and how many these were."""
+    numbers = batch.column(batch.schema.get_field_index("row")).to_numpy(zero_copy_only=False)
+    first = np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)]
+    times = np.diff(np.append(np.flatnonzero(first), len(numbers)))
+    return batch.filter(pa.array(first)), times
+
 
+#: Sums over documents, which every task returns after those of terms.
+_LOGS, _BOUND, _TOKENS, _DOCS, _ROWS = range(5)
 
-def update_sums(rows: DataFrame, models: dict[int, OnlineLda], n_terms: int, **steps) -> dict[int, dict]:
+
+def update_sums(
+    rows: DataFrame, models: dict[int, OnlineLda], n_terms: int, starts: Callable[[int, int], np.ndarray] | None = None, **steps
+) -> dict[int, dict]:
     """What one update needs of every model: ``parts`` (topics x vocabulary), ``logs`` (sums of
-    expected logarithms of topic shares), ``bound``, ``tokens`` and ``docs``.
+    expected logarithms of topic shares), ``bound``, ``tokens``, ``docs`` and ``rows`` (empty
+    documents included).
 
-    The result is models x vocabulary rows, bounded by the vocabulary's cap. ``steps`` goes to
-    ``row_topics``.
+    The driver gets topics x vocabulary numbers of every model, bounded by the vocabulary's cap.
+    ``starts`` gives the weights that the documents of a partition start with, by its number and
+    that of topics; such rows have a number ``row``, and those that repeat it are computed once.
+    ``steps`` goes to ``settle``.
     """
-    widest = max(m.k for m in models.values())
-    names = [f"t{i}" for i in range(widest)]
     shared = {k: (np.exp(expected_logs(m.weights)).T, m.prior) for k, m in models.items()}
+    ends = np.cumsum([0, *shared]).tolist()
+    place = {k: slice(a, b) for k, a, b in zip(shared, ends, ends[1:])}
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = {k: np.zeros((n_terms, k)) for k in shared}
-        extra = {k: np.zeros((4, widest)) for k in shared}
-        seen = np.zeros(n_terms, bool)
+    def partial(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+        parts, extra = np.zeros((ends[-1], n_terms)), np.zeros((5, ends[-1]))
+        own = dict.fromkeys(shared)
         for batch in batches:
-            for _, counts, terms, bounds in _filled(batch):
-                seen[terms] = True
+            if starts is not None:
+                own = {k: starts(TaskContext.get().partitionId(), k) for k in shared}
+            extra[_ROWS] += batch.num_rows
+            batch, repeats = (batch, None) if starts is None else _without_repeats(batch)
+            for at, counts, terms, bounds in _filled(batch):
+                lengths = np.diff(bounds)
+                times = np.ones(len(at)) if repeats is None else repeats[at] * (np.add.reduceat(counts, bounds[:-1]) > 0)
+                weighted = np.repeat(times, lengths) * counts
                 for k, (shares, prior) in shared.items():
-                    gamma, own, norms = row_topics(counts, terms, bounds, shares, prior, **steps)
+                    gamma, theta, norms = settle(counts, terms, bounds, shares, prior, start=own[k], **steps)
+                    ratio = weighted / norms
                     for t in range(k):
-                        parts[k][:, t] += np.bincount(terms, own[:, t], minlength=n_terms)
-                    extra[k][-1 - _LOGS, :k] += expected_logs(gamma).sum(axis=0)
-                    extra[k][-1 - _BOUND, 0] += _bound(gamma, prior, counts, norms)
-                    extra[k][-1 - _TOKENS, 0] += counts.sum()
-                    extra[k][-1 - _DOCS, 0] += len(gamma)
-        at = np.flatnonzero(seen)
-        for k in shared:
-            values = np.concatenate([np.pad(parts[k][at], ((0, 0), (0, widest - k))), extra[k]])
-            ids = np.concatenate([at, [_LOGS, _BOUND, _TOKENS, _DOCS]]).astype(np.int64)
-            out = [pa.array(np.full(len(ids), k, np.int64)), pa.array(ids), *(pa.array(values[:, i]) for i in range(widest))]
-            yield pa.RecordBatch.from_arrays(out, ["k", "term_id", *names])
-
-    schema = "k long, term_id long, " + ", ".join(f"{c} double" for c in names)
-    found = rows.select("indices", "weights").mapInArrow(partial, schema)
-    sums = found.groupBy("k", "term_id").agg(*[F.sum(c).alias(c) for c in names]).toPandas().set_index(["k", "term_id"])
-    out = {}
-    for k in models:
-        own = sums.loc[k]
-        parts = np.zeros((k, n_terms))
-        terms = own[own.index >= 0]
-        parts[:, terms.index.to_numpy()] = terms[names[:k]].to_numpy().T
-        single = lambda row: float(own.loc[row, "t0"])
-        out[k] = {
-            "parts": parts,
-            "logs": own.loc[_LOGS, names[:k]].to_numpy(float),
-            "bound": single(_BOUND),
-            "tokens": single(_TOKENS),
-            "docs": int(single(_DOCS)),
+                        falls = np.bincount(terms, ratio * np.repeat(theta[:, t], lengths), minlength=n_terms)
+                        parts[place[k].start + t] += falls
+                    extra[_LOGS, place[k]] += times @ expected_logs(gamma)
+                    extra[_BOUND, place[k]] += times @ _bounds(gamma, prior, counts, norms, bounds)
+                extra[_TOKENS] += weighted.sum()
+                extra[_DOCS] += times.sum()
+        for k, (shares, _) in shared.items():
+            parts[place[k]] *= shares.T
+        return [*parts, *extra]
+
+    needed = [c for c in ("row", "indices", "weights") if c != "row" or starts is not None]
+    sums = array_sums(rows.select(*needed), partial)
+    parts, extra = np.array(sums[: ends[-1]]), sums[ends[-1] :]
+    return {
+        k: {
+            "parts": parts[own],
+            "logs": extra[_LOGS][own],
+            "bound": float(extra[_BOUND][own.start]),
+            "tokens": float(extra[_TOKENS][own.start]),
+            "docs": int(extra[_DOCS][own.start]),
+            "rows": int(extra[_ROWS][own.start]),
         }
-    return out
+        for k, own in place.items()
+    }
 
 
 def better_prior(prior: np.ndarray, logs: np.ndarray, docs: int, rate: float) -> np.ndarray:
@@ -335,15 +403,17 @@ def topic_words(spark: SparkSession, model: OnlineLda, lexicon: Lexicon, n: int
     return topics.rank_words(spark.createDataFrame(rows, "topic_id int, word string, weight double"), n)
 
 
-def document_topics(rows: DataFrame, model: OnlineLda) -> DataFrame:
-    """``(id, topic_dist)``: shares of the topics in each document."""
+def document_topics(rows: DataFrame, model: OnlineLda, start: np.ndarray | None = None, empty: float | None = None) -> DataFrame:
+    """``(id, topic_dist)``: shares of the topics in each document, which start even or from
+    ``start``. A document without terms has equal shares, or ``empty`` of each."""
     shares, prior, k = np.exp(expected_logs(model.weights)).T, model.prior, model.k
+    steps = {} if start is None else {"start": start, "steps": ANY_STEPS}
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.full((batch.num_rows, k), 1.0 / k)
+            out = np.full((batch.num_rows, k), 1.0 / k if empty is None else empty)
             for at, counts, terms, bounds in _filled(batch):
-                gamma = row_topics(counts, terms, bounds, shares, prior)[0]
+                gamma = settle(counts, terms, bounds, shares, prior, **steps)[0]
                 out[at] = gamma / gamma.sum(axis=1, keepdims=True)
             offsets = pa.array(np.arange(0, out.size + 1, k, dtype=np.int32))
             ids = batch.column(batch.schema.get_field_index("id"))
