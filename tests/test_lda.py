@@ -1,4 +1,6 @@
-"""LDA as Spark ML fits it: the same models, with passes that all topic counts share."""
+"""LDA as Spark ML fits it: the same models, with passes that all topic counts share. Methods side by side."""
+
+import threading
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from planted import topic_corpus
 from topicloom.config import TopicConfig
 from topicloom.operators import features as fe, lda, online_lda as ol
+from topicloom.plans import runs
 from topicloom.runtime import array_sums
 
 
@@ -97,3 +100,20 @@ def test_array_sums_of_no_rows(spark):
     assert array_sums(rows, total)[0].tolist() == [10.0] * 3
     assert array_sums(spark.createDataFrame([], "id long"), total)[0].tolist() == [0.0] * 3
     assert array_sums(rows.where(F.col("id") > 100), total)[0].tolist() == [0.0] * 3
+
+
+def test_methods_run_side_by_side(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    def waits(features, base, config, find_optimal):
+        both.wait()
+        return {"rows": spark.range(features["n"])}
+
+    def fails(*_):
+        raise ValueError("no topics")
+
+    monkeypatch.setattr(runs, "RUNNERS", {"a": waits, "b": waits, "c": fails})
+    found = runs.run_methods({"n": 3}, "unused", methods=("b", "c", "a", "unknown"))
+    assert list(found) == ["b", "c", "a", "unknown"] and found["a"]["rows"].count() == found["b"]["rows"].count() == 3
+    assert isinstance(found["c"], ValueError) and isinstance(found["unknown"], KeyError)
+    assert runs.run_methods({"n": 3}, "unused", methods=()) == {}
