@@ -126,3 +126,24 @@ def test_topics_of_a_document_do_not_depend_on_its_slice():
         alone = ol.row_topics(counts[a:b], terms[a:b], np.array([0, b - a]), shares, prior)
         assert together[0][i] == pytest.approx(alone[0][0], rel=1e-9)
         assert together[1][a:b] == pytest.approx(alone[1], rel=1e-9)
+
+
+def test_blocks_of_documents_settle_as_one_by_one(monkeypatch):
+    """Padding and the cut into blocks don't change what a document gets, from a given start."""
+    chance = np.random.default_rng(6)
+    shares, prior, start = chance.gamma(0.3, 1.0, (80, 3)) + 1e-3, np.array([0.1, 0.4, 0.02]), np.array([1.1, 0.9, 1.0])
+    lengths = np.append(chance.integers(1, 60, 70), 1)
+    terms = np.concatenate([chance.choice(80, n, replace=False) for n in lengths])
+    counts, bounds = chance.gamma(1.0, 1.0, len(terms)), np.concatenate([[0], np.cumsum(lengths)])
+    for cells in (1, 600, 10**6):
+        monkeypatch.setattr(ol, "BLOCK_CELLS", cells)
+        gamma, theta, norms = ol.settle(counts, terms, bounds, shares, prior, ol.ANY_STEPS, 1e-3, start)
+        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            now, own, n, change = start, shares[terms[a:b]], counts[a:b], 1.0
+            while change > 1e-3:
+                part = np.exp(ol.digamma(now) - ol.digamma(now.sum()))
+                after = prior + part * (own.T @ (n / (own @ part)))
+                now, change = after, np.abs(after - now).mean()
+            part = np.exp(ol.digamma(now) - ol.digamma(now.sum()))
+            assert gamma[i] == pytest.approx(now, rel=1e-9) and theta[i] == pytest.approx(part, rel=1e-9)
+            assert norms[a:b] == pytest.approx(own @ part, rel=1e-9)
