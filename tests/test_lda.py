@@ -72,6 +72,24 @@ def test_topics_and_likelihood_are_those_of_spark(planted, tmp_path):
     lda.fit_lda(vectors, 2, passes=1).write().save(str(tmp_path / "m"))
 
 
+def test_quality_and_topics_take_one_pass_of_their_own(planted, monkeypatch):
+    """Neither Spark ML's likelihood, which makes topics x vocabulary exponentials for every
+    document, nor its perplexity, which does so again, is asked for."""
+    _, _, vectors = planted
+    model = by_spark(vectors, 2, 1)
+
+    def unwanted(*_):
+        raise AssertionError("a pass of Spark ML")
+
+    for name in ("logLikelihood", "logPerplexity", "transform"):
+        monkeypatch.setattr(type(model), name, unwanted)
+    passes, plain = [], type(vectors).mapInArrow
+    monkeypatch.setattr(type(vectors), "mapInArrow", lambda df, *more: passes.append(1) or plain(df, *more))
+    quality = lda.fit_quality(model, vectors).first()
+    assert len(passes) == 1 and quality["log_likelihood"] < 0 < quality["log_perplexity"]
+    assert lda.document_topics(model, vectors).count() == vectors.count()
+
+
 def test_dense_vectors_and_zeros_count_as_in_spark(spark):
     rows = [(i, Vectors.dense([i % 3, 1.0, (i * 7) % 4, 0.0])) for i in range(30)] + [(40, Vectors.dense([0.0] * 4))]
     vectors = spark.createDataFrame(rows, ["id", "features"]).coalesce(2).persist()
